@@ -1,19 +1,22 @@
 """Order-dependent operators on many time series, safe under heavy skew.
 
 A plain ``Window.partitionBy(series)`` puts every row of a series into one
-task. If one series holds a third of all rows that task never finishes. We
-therefore split every series into time chunks (``chunk_days`` wide, derived
-from the ordering timestamp, so chunk order equals row order) and run the
-window per (series, chunk). What crosses a chunk border is tiny:
-
-* ``lag``: the last row of every chunk, shifted to the next non-empty chunk;
-* running sum: the total of every chunk, summed over the earlier chunks.
-
-That per-chunk table has one row per (series, chunk); it is built with a
-map-side partial aggregate and joined back on (series, chunk). The big side is
-already hash-partitioned on exactly those keys by the window's exchange, so
-only the small side moves; AQE turns the join into a broadcast when the
-small side turns out small at run time.
+task; if one series holds a third of all rows that task never finishes. We
+split every series into time chunks (``chunk_days`` wide, derived from the
+ordering timestamp, so chunk order equals row order) and run the window per
+(series, chunk). What must cross a chunk border is tiny, and it is carried
+by one *boundary row* per (series, chunk), unioned into the window input and
+sorted in front of the chunk's real rows:
+
+* ``series_lag``: the boundary row holds the last row of the previous
+  non-empty chunk, so LAG of the first real row sees it;
+* ``series_running_sum``: the boundary row holds the total of all earlier
+  chunks, so the running sum starts from it.
+
+Boundary rows come from a map-side partial aggregate per (series, chunk) and
+a window over that small table (one row per chunk). No join, one big
+exchange (the window's), and no task ever holds more than one chunk of one
+series.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
+REAL = "_real"
 
 
 def chunk_of(ts: str | Column, chunk_days: int) -> Column:
@@ -33,8 +37,36 @@ def chunk_of(ts: str | Column, chunk_days: int) -> Column:
     return F.floor(days / F.lit(chunk_days)).cast("long")
 
 
-def _asc(order: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in order]
+def order_key(order: Sequence[str], dtypes: dict[str, str]) -> Column:
+    """One exact DECIMAL(38,0) sort key for (timestamp, [int tie-breakers...]).
+
+    epoch-microseconds * 2^32 + (t + 2^31) per INT tie-breaker (at most two),
+    so MAX of the key picks the last row in the full order. Unlike MAX_BY
+    over a struct, an aggregate keyed by a decimal runs as a hash aggregate
+    (no sort of the input).
+    """
+    ts, ties = order[0], list(order[1:])
+    if len(ties) > 2 or any(dtypes[t] not in ("int", "smallint", "tinyint") for t in ties):
+        raise ValueError("order must be a timestamp plus at most two INT tie-breakers")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    key = F.timestamp_diff("MICROSECOND", epoch, F.col(ts).cast("timestamp_ntz")).cast("decimal(38,0)")
+    for t in ties:
+        key = key * F.lit(2**32).cast("decimal(38,0)") + (F.col(t).cast("long") + F.lit(2**31)).cast("decimal(38,0)")
+    return key.cast("decimal(38,0)")
+
+
+def _boundary_rows(staged: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Rows shaped like ``staged`` with only keys, chunk and ``values`` set, REAL = 0."""
+    fields = {f.name: f.dataType for f in staged.schema.fields}
+    cols = []
+    for name, dtype in fields.items():
+        if name in values:
+            cols.append(values[name].cast(dtype).alias(name))
+        elif name == REAL:
+            cols.append(F.lit(0).alias(REAL))
+        else:
+            cols.append(F.lit(None).cast(dtype).alias(name))
+    return cols
 
 
 def series_lag(
@@ -47,32 +79,29 @@ def series_lag(
 ) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` in the previous row of the same series.
 
-    ``order[0]`` must be the timestamp (chunks come from it); the rest are
-    tie-breakers. The result equals ``lag(c) over (partition by keys order by
-    order)`` but no task ever holds more than one chunk of one series.
+    ``order[0]`` is the timestamp (chunks come from it), then at most two INT
+    tie-breakers; rows must be unique in ``order`` within a series (true after
+    the staging DISTINCT), so "last row of a chunk" is well defined. Equal to ``lag(c) over
+    (partition by keys order by order)``.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    staged = df.withColumn(CHUNK, chunk_of(order[0], chunk_days))
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*_asc(order))
-    inner = staged.withColumn("_lag", F.lag(F.struct(*cols)).over(w))
-
-    # Last row of each non-empty chunk (partial aggregate before the shuffle),
-    # then handed to the next non-empty chunk of the same series.
-    last = staged.groupBy(*keys, CHUNK).agg(
-        F.max_by(F.struct(*cols), F.struct(*order)).alias("_last")
-    )
-    carry = last.select(
+    staged = df.withColumn(CHUNK, chunk_of(order[0], chunk_days)).withColumn(REAL, F.lit(1))
+
+    key = order_key(order, dict(staged.dtypes))
+    last = staged.groupBy(*keys, CHUNK).agg(*[F.max_by(c, key).alias("_last_" + c) for c in cols])
+    nxt = last.select(
         *keys,
-        CHUNK,
-        F.lag("_last").over(Window.partitionBy(*keys).orderBy(CHUNK)).alias("_carry"),
+        F.lead(CHUNK).over(Window.partitionBy(*keys).orderBy(CHUNK)).alias(CHUNK),
+        *["_last_" + c for c in cols],
+    ).filter(F.col(CHUNK).isNotNull())
+    values = {k: F.col(k) for k in keys} | {CHUNK: F.col(CHUNK)} | {c: F.col("_last_" + c) for c in cols}
+    boundary = nxt.select(*_boundary_rows(staged, values))
+
+    w = Window.partitionBy(*keys, CHUNK).orderBy(F.col(REAL), *[F.col(c) for c in order])
+    lagged = staged.unionByName(boundary).withColumn("_prev", F.lag(F.struct(*cols)).over(w))
+    return lagged.filter(F.col(REAL) == 1).select(
+        *[F.col(c) for c in df.columns], *[F.col("_prev").getField(c).alias(prefix + c) for c in cols]
     )
-    joined = inner.join(carry, on=[*keys, CHUNK], how="left")
-    prev = F.when(F.col("_lag").isNull(), F.col("_carry")).otherwise(F.col("_lag"))
-    out = joined.select(
-        *[F.col(c) for c in staged.columns if c != CHUNK],
-        *[prev.getField(c).alias(prefix + c) for c in cols],
-    )
-    return out
 
 
 def series_running_sum(
@@ -85,27 +114,23 @@ def series_running_sum(
 ) -> DataFrame:
     """Add ``prefix + c`` = running total of ``c`` per series (rows unbounded preceding).
 
-    Exact for integral columns: per-chunk running sums plus the total of all
-    earlier chunks of the series.
+    Exact for integral columns.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    staged = df.withColumn(CHUNK, chunk_of(order[0], chunk_days))
-    w = (
-        Window.partitionBy(*keys, CHUNK)
-        .orderBy(*_asc(order))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    inner = staged.select("*", *[F.sum(c).over(w).alias("_run_" + c) for c in cols])
+    staged = df.withColumn(CHUNK, chunk_of(order[0], chunk_days)).withColumn(REAL, F.lit(1))
 
     totals = staged.groupBy(*keys, CHUNK).agg(*[F.sum(c).alias("_tot_" + c) for c in cols])
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys,
-        CHUNK,
-        *[F.coalesce(F.sum("_tot_" + c).over(before), F.lit(0)).alias("_off_" + c) for c in cols],
+    offsets = totals.select(*keys, CHUNK, *[F.sum("_tot_" + c).over(before).alias(c) for c in cols]).filter(
+        F.col(cols[0]).isNotNull()
     )
-    joined = inner.join(offsets, on=[*keys, CHUNK], how="left")
-    return joined.select(
-        *[F.col(c) for c in staged.columns if c != CHUNK],
-        *[(F.col("_run_" + c) + F.col("_off_" + c)).alias(prefix + c) for c in cols],
+    values = {k: F.col(k) for k in keys} | {CHUNK: F.col(CHUNK)} | {c: F.col(c) for c in cols}
+    boundary = offsets.select(*_boundary_rows(staged, values))
+
+    w = (
+        Window.partitionBy(*keys, CHUNK)
+        .orderBy(F.col(REAL), *[F.col(c) for c in order])
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    summed = staged.unionByName(boundary).select("*", *[F.sum(c).over(w).alias(prefix + c) for c in cols])
+    return summed.filter(F.col(REAL) == 1).select(*[F.col(c) for c in df.columns], *[F.col(prefix + c) for c in cols])

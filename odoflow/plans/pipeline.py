@@ -49,13 +49,9 @@ class Pipeline:
     def raw(self) -> DataFrame:
         return proxy.raw_from_readings(self.readings)
 
-    @cached_property
-    def station_labels(self) -> DataFrame:
-        return self.spark.createDataFrame(proxy.PROXY_STATION_LABELS, "station_src string, station_dest string")
-
-    @cached_property
-    def division_labels(self) -> DataFrame:
-        return self.spark.createDataFrame(proxy.PROXY_DIVISION_LABELS, "division_src string, division_dest string")
+    # Seeds held as Python values have a known size: literal maps, no join.
+    station_labels = dict(proxy.PROXY_STATION_LABELS)
+    division_labels = dict(proxy.PROXY_DIVISION_LABELS)
 
     @cached_property
     def station_map(self) -> DataFrame:
