@@ -16,7 +16,12 @@ def spark():
         app="odoflow-tests",
         master="local[4]",
         shuffle_partitions=4,
-        conf={"spark.checkpoint.dir": ckpt, "spark.sql.ansi.enabled": "true"},
+        conf={
+            "spark.checkpoint.dir": ckpt,
+            "spark.sql.ansi.enabled": "true",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="odoflow-test-wh-", dir="/tmp"),
+            "spark.driver.extraJavaOptions": "-Dderby.system.home=" + tempfile.mkdtemp(prefix="odoflow-derby-", dir="/tmp"),
+        },
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
