@@ -19,8 +19,20 @@ from odoflow.operators.series import series_running_sum
 from odoflow.params import CohortSpec
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one driver table.
+
+    The relation (file listing, footer schema) is built once per session and
+    path; every query still scans the files when it runs.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def readings(spark: SparkSession, sf_dir: str, chunk_days: int = 7) -> DataFrame:
