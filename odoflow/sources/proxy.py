@@ -19,7 +19,7 @@ from odoflow.operators.series import series_running_sum
 from odoflow.params import CohortSpec
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+_SCANS: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path; every query still scans the files when it runs.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    hit = _SCANS.get(path)
+    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
+        hit = (spark, spark.read.parquet(path))
+        _SCANS[path] = hit
+    return hit[1]
 
 
 def readings(spark: SparkSession, sf_dir: str, chunk_days: int = 7) -> DataFrame:
