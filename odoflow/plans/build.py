@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from odoflow.operators import quality as dq
 from odoflow.operators.cutoff import series_stats
 from odoflow.operators.diff import difference
-from odoflow.operators.hourly import hourly_clean
+from odoflow.operators.hourly import HOURLY_COLUMNS, hourly_clean
 from odoflow.operators.staging import stage
 from odoflow.operators.stations import station_list
 from odoflow.params import DBT_CUTOFF, DBT_DIFF, CutoffRule, DiffPolicy, StagingRules
@@ -56,8 +56,9 @@ def build_models(
     entry_avg = _write(series_stats(diff, "entries", cutoff), f"{root}/entry_avg")
     exit_avg = _write(series_stats(diff, "exits", cutoff), f"{root}/exit_avg")
     stations = _write(station_list(diff, station_map, borough_map), f"{root}/station_list")
-    hourly = hourly_clean(diff, stations=stations, start_date=start).withColumn("year", F.year("date"))
-    clean = _write(hourly.sortWithinPartitions("date"), f"{root}/mta_clean", ["year"]).drop("year")
+    # one folder per day: cohort date ranges become partition filters (directory pruning)
+    hourly = hourly_clean(diff, stations=stations, start_date=start)
+    clean = _write(hourly.repartition("date"), f"{root}/mta_clean", ["date"]).select(*HOURLY_COLUMNS)
     return {
         "mta_staging": staging,
         "mta_diff": diff,

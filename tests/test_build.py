@@ -25,6 +25,9 @@ def test_weekly_build_views_and_dashboard(spark):
     via_sql = cohort_filter_sql(spark, "t_mta_clean", sel.start, sel.end, dow=[1, 2], tod=[8, 12])
     via_df = co.tag_cohorts(models["mta_clean"], [sel], co.CohortFilter(dow=(1, 2), tod=(8, 12))).drop("cohort")
     assert via_sql.exceptAll(via_df).count() == 0 and via_df.exceptAll(via_sql).count() == 0
+    # the date range of a cohort prunes the day folders of the materialized facts
+    plan = via_df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "date#" in plan
     with dashboard.refresh(models["mta_clean"], models["station_list"], proxy.PROXY_COHORTS) as panels:
         assert panels["kpi"].count() == 1
         assert panels["by_station"].count() > 0 and panels["by_date"].count() > 0

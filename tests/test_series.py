@@ -46,3 +46,17 @@ def test_no_sort_aggregate_in_lag_plan(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_hot_series_is_spread_over_tasks(spark):
+    """A series holding ~98% of the rows lands in many window tasks, not one."""
+    df = _frame(spark)
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = series_lag(df, ["station", "turnstile"], ["ts", "e", "x"], ["ts", "e", "x"], chunk_days=7)
+        per_task = got.filter("station = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        total = sum(r["count"] for r in per_task)
+        assert len(per_task) >= 3 and max(r["count"] for r in per_task) < 0.6 * total
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
