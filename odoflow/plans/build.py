@@ -50,13 +50,13 @@ def build_models(
     """Run the build; return the materialized models (read back from Parquet)."""
     root = (root or scratch_path(spark, "models")).rstrip("/")
     start = start_date or rules.start_date
-    staged = stage(raw, station_labels, division_labels, rules).withColumn("month", F.date_format("date_time", "yyyy-MM"))
-    staging = _write(staged, f"{root}/mta_staging", ["month"]).drop("month")
+    staging = _write(stage(raw, station_labels, division_labels, rules), f"{root}/mta_staging")
     diff = _write(difference(staging, policy, chunk_days=chunk_days), f"{root}/mta_diff")
     entry_avg = _write(series_stats(diff, "entries", cutoff), f"{root}/entry_avg")
     exit_avg = _write(series_stats(diff, "exits", cutoff), f"{root}/exit_avg")
     stations = _write(station_list(diff, station_map, borough_map), f"{root}/station_list")
-    # one folder per day: cohort date ranges become partition filters (directory pruning)
+    # one folder per day: cohort date ranges become partition filters (directory pruning).
+    # A day holds at most stations x 8 buckets rows, so repartition("date") is bounded.
     hourly = hourly_clean(diff, stations=stations, start_date=start)
     clean = _write(hourly.repartition("date"), f"{root}/mta_clean", ["date"]).select(*HOURLY_COLUMNS)
     return {

@@ -63,15 +63,20 @@ def file_week(date_col: str = "DATE"):
     return F.next_day(F.col(date_col), "Sat")
 
 
-def write_reading_files(raw: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write raw readings as weekly CSV files (one folder per week, header in each file)."""
+def write_reading_files(raw: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> str:
+    """Write raw readings as weekly CSV files (one folder per week, header in each file).
+
+    No repartition by week: a week holding a large share of the rows would
+    land in one task. Each task writes its own files into the week folders it
+    touches, each file capped at ``max_records_per_file`` rows.
+    """
     out = raw.withColumn("week", F.date_format(file_week(), "yyMMdd"))
     (
-        out.repartition("week")
-        .write.mode(mode)
+        out.write.mode(mode)
         .partitionBy("week")
         .option("header", True)
         .option("dateFormat", CSV_DATE_FORMAT)
+        .option("maxRecordsPerFile", max_records_per_file)
         .csv(path)
     )
     return path
