@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odoflow.functions.columns import hour_bucket
-from odoflow.operators.stations import station_list
+from odoflow.operators.stations import with_station_attributes
 
 HOURLY_COLUMNS = ["date", "hour", "station", "boro", "entries", "exits"]
 
@@ -31,8 +31,9 @@ def hourly_clean(
     with the hour-24 bucket of that day, so (date, 24, station) may repeat.
 
     Plan: the diff is first reduced to (date, bucket, station) - the partial
-    aggregate runs in the window stage - and the station list is taken from
-    that small result, so the diff is computed once.
+    aggregate runs in the window stage - and only that small result meets the
+    station attributes (broadcast joins to the dimensions, or to a given
+    materialized station list).
     """
     pre = diffed.groupBy(
         F.to_date("date_time").alias("date"),
@@ -40,11 +41,15 @@ def hourly_clean(
         "station",
     ).agg(F.sum("entries").alias("entries"), F.sum("exits").alias("exits"))
     if stations is None:
-        stations = station_list(pre, station_map, borough_map)
-    names = stations.select(
-        F.col("station").alias("_s_station"), F.col("pretty_name"), F.col("borough").alias("boro")
-    )
-    joined = pre.join(names, F.col("station") == F.col("_s_station"), "left")
+        # A station's name and borough depend only on its own dimension rows,
+        # so the reduced facts join the small dimensions directly: no
+        # distinct-station pass and no shuffle of the facts by station.
+        joined = with_station_attributes(pre, station_map, borough_map).withColumnRenamed("borough", "boro")
+    else:
+        names = stations.select(
+            F.col("station").alias("_s_station"), F.col("pretty_name"), F.col("borough").alias("boro")
+        )
+        joined = pre.join(names, F.col("station") == F.col("_s_station"), "left")
     grouped = joined.groupBy("date", "hour", F.col("pretty_name").alias("station"), "boro").agg(
         F.sum("entries").alias("entries"), F.sum("exits").alias("exits")
     )

@@ -27,29 +27,30 @@ def borough_coding(desc, cbd, rules: BoroughRules = BoroughRules()):
     return d2, code.cast("int")
 
 
-def station_list(
-    stations: DataFrame,
+def with_station_attributes(
+    df: DataFrame,
     station_map: DataFrame,
     borough_map: DataFrame,
     rules: BoroughRules = BoroughRules(),
 ) -> DataFrame:
-    """One row per distinct ``station`` of ``stations`` (usually the diff).
+    """Add pretty_name, latitude, longitude, borough_desc, borough, cbd for ``df.station``.
 
-    pretty_name = stop_name || '-' || routes || ' (' || borough || ')' with NULLs
-    skipped, so every unmapped station is named '- ()'.
+    Two left joins to small dimensions (unique keys; Spark broadcasts them
+    by their size, AQE re-checks at run time). pretty_name is
+    stop_name || '-' || routes || ' (' || borough || ')' with NULLs skipped,
+    so every unmapped station is named '- ()'.
     """
-    distinct = stations.select("station").distinct()
     sm = station_map.select(
         F.col("station").alias("_m_station"), "stop_name", "daytime_routes",
         F.col("borough").alias("_m_borough"), "latitude", "longitude", "cbd",
     )
     bm = borough_map.select(F.col("borough").alias("_b_borough"), F.col("borough_desc").alias("_b_desc"))
-    joined = distinct.join(sm, F.col("station") == F.col("_m_station"), "left").join(
+    joined = df.join(sm, F.col("station") == F.col("_m_station"), "left").join(
         bm, F.col("_m_borough") == F.col("_b_borough"), "left"
     )
     desc, code = borough_coding(F.col("_b_desc"), F.col("cbd"), rules)
     return joined.select(
-        "station",
+        *[F.col(c) for c in df.columns],
         concat_skip_nulls(
             F.col("stop_name"), F.lit("-"), F.col("daytime_routes"), F.lit(" ("), F.col("_m_borough"), F.lit(")")
         ).alias("pretty_name"),
@@ -59,3 +60,14 @@ def station_list(
         code.alias("borough"),
         "cbd",
     )
+
+
+def station_list(
+    stations: DataFrame,
+    station_map: DataFrame,
+    borough_map: DataFrame,
+    rules: BoroughRules = BoroughRules(),
+) -> DataFrame:
+    """One row per distinct ``station`` of ``stations`` (usually the diff)."""
+    distinct = stations.select("station").distinct()
+    return with_station_attributes(distinct, station_map, borough_map, rules).select(*STATION_LIST_COLUMNS)
