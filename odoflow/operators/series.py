@@ -14,9 +14,16 @@ sorted in front of the chunk's real rows:
   chunks, so the running sum starts from it.
 
 Boundary rows come from a map-side partial aggregate per (series, chunk) and
-a window over that small table (one row per chunk). No join, one big
-exchange (the window's), and no task ever holds more than one chunk of one
-series.
+a window over that small table (one row per chunk). One big exchange (the
+window's), no second sort.
+
+Chunks are adaptive: rows are counted per (series, coarse chunk) with a
+partial aggregate, and only coarse chunks holding more than
+``max_rows_per_chunk`` rows are cut into k equal time slices (k = count /
+max_rows_per_chunk, rounded up). The list of such hot chunks has at most
+total_rows / max_rows_per_chunk entries - a proven bound - and is broadcast,
+so the big side never moves for it. No window task then holds more than about
+``max_rows_per_chunk`` rows (unless that many rows share one timestamp).
 """
 
 from __future__ import annotations
@@ -28,6 +35,8 @@ from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 REAL = "_real"
+MAX_ROWS_PER_CHUNK = 4_000_000
+_SUB_BITS = 20  # up to 2^20 slices per coarse chunk
 
 
 def chunk_of(ts: str | Column, chunk_days: int) -> Column:
@@ -37,6 +46,42 @@ def chunk_of(ts: str | Column, chunk_days: int) -> Column:
     return F.floor(days / F.lit(chunk_days)).cast("long")
 
 
+def with_chunks(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    chunk_days: int = 7,
+    max_rows_per_chunk: int = MAX_ROWS_PER_CHUNK,
+) -> DataFrame:
+    """Add CHUNK: a long, increasing with ``ts`` inside each series.
+
+    coarse = ``chunk_of(ts, chunk_days)``; a coarse chunk of a series with
+    more than ``max_rows_per_chunk`` rows is cut into k time slices.
+    """
+    from odoflow.functions.columns import epoch_seconds
+
+    keys = list(keys)
+    base = df.withColumn("_base", chunk_of(ts, chunk_days))
+    counts = base.groupBy(*keys, "_base").agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > max_rows_per_chunk).select(
+        *[F.col(k).alias("_h_" + k) for k in keys],
+        F.col("_base").alias("_h_base"),
+        F.least(F.ceil(F.col("_n") / F.lit(max_rows_per_chunk)), F.lit(2**_SUB_BITS)).cast("long").alias("_k"),
+    )
+    cond = F.col("_base") == F.col("_h_base")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col("_h_" + k))
+    # at most total_rows / max_rows_per_chunk rows: a proven bound for broadcast
+    joined = base.join(F.broadcast(hot), cond, "left")
+    span = chunk_days * 86400
+    offset = epoch_seconds(ts) - F.col("_base") * F.lit(span)
+    sub = F.when(F.col("_k").isNull(), F.lit(0)).otherwise(
+        F.least(F.floor(offset * F.col("_k") / F.lit(span)), F.col("_k") - 1)
+    )
+    chunk = F.col("_base") * F.lit(2**_SUB_BITS) + sub.cast("long")
+    return joined.select(*[F.col(c) for c in df.columns], chunk.cast("long").alias(CHUNK))
+
+
 def order_key(order: Sequence[str], dtypes: dict[str, str]) -> Column:
     """One exact DECIMAL(38,0) sort key for (timestamp, [int tie-breakers...]).
 
@@ -76,6 +121,7 @@ def series_lag(
     cols: Sequence[str],
     prefix: str = "prev_",
     chunk_days: int = 7,
+    max_rows_per_chunk: int = MAX_ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` in the previous row of the same series.
 
@@ -85,7 +131,7 @@ def series_lag(
     (partition by keys order by order)``.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    staged = df.withColumn(CHUNK, chunk_of(order[0], chunk_days)).withColumn(REAL, F.lit(1))
+    staged = with_chunks(df, keys, order[0], chunk_days, max_rows_per_chunk).withColumn(REAL, F.lit(1))
 
     key = order_key(order, dict(staged.dtypes))
     last = staged.groupBy(*keys, CHUNK).agg(*[F.max_by(c, key).alias("_last_" + c) for c in cols])
@@ -111,13 +157,14 @@ def series_running_sum(
     cols: Sequence[str],
     prefix: str = "cum_",
     chunk_days: int = 7,
+    max_rows_per_chunk: int = MAX_ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add ``prefix + c`` = running total of ``c`` per series (rows unbounded preceding).
 
     Exact for integral columns.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    staged = df.withColumn(CHUNK, chunk_of(order[0], chunk_days)).withColumn(REAL, F.lit(1))
+    staged = with_chunks(df, keys, order[0], chunk_days, max_rows_per_chunk).withColumn(REAL, F.lit(1))
 
     totals = staged.groupBy(*keys, CHUNK).agg(*[F.sum(c).alias("_tot_" + c) for c in cols])
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)

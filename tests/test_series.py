@@ -24,8 +24,10 @@ def test_series_lag_equals_plain_window(spark):
     df = _frame(spark)
     w = Window.partitionBy("station", "turnstile").orderBy("ts", "e", "x")
     expect = df.select("*", *[F.lag(c).over(w).alias("prev_" + c) for c in ("ts", "e", "x")])
-    for chunk_days in (1, 7, 30):
-        got = series_lag(df, ["station", "turnstile"], ["ts", "e", "x"], ["ts", "e", "x"], chunk_days=chunk_days)
+    for chunk_days, cap in ((1, 10**9), (7, 10**9), (30, 10**9), (30, 40), (7, 5)):
+        got = series_lag(
+            df, ["station", "turnstile"], ["ts", "e", "x"], ["ts", "e", "x"], chunk_days=chunk_days, max_rows_per_chunk=cap
+        )
         assert got.exceptAll(expect).count() == 0
         assert expect.exceptAll(got).count() == 0
 
@@ -35,9 +37,10 @@ def test_series_running_sum_equals_plain_window(spark):
     df = _frame(spark).withColumn("id", F.xxhash64("ts", "e", "x")).withColumn("v", F.col("v").cast("long"))
     w = Window.partitionBy("station").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
     expect = df.select("*", F.sum("v").over(w).alias("cum_v"))
-    got = series_running_sum(df, ["station"], ["ts", "id"], ["v"], chunk_days=3)
-    assert got.exceptAll(expect).count() == 0
-    assert expect.exceptAll(got).count() == 0
+    for cap in (10**9, 25):
+        got = series_running_sum(df, ["station"], ["ts", "id"], ["v"], chunk_days=3, max_rows_per_chunk=cap)
+        assert got.exceptAll(expect).count() == 0
+        assert expect.exceptAll(got).count() == 0
 
 
 def test_no_sort_aggregate_in_lag_plan(spark):
@@ -60,3 +63,22 @@ def test_hot_series_is_spread_over_tasks(spark):
         assert len(per_task) >= 3 and max(r["count"] for r in per_task) < 0.6 * total
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+
+
+def test_hot_chunk_is_split_by_row_count(spark):
+    """All rows of one series inside ONE coarse chunk: the adaptive split still spreads them."""
+    from datetime import datetime, timedelta
+
+    rows = [("hot", "T", datetime(2024, 1, 1) + timedelta(seconds=17 * i), i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "station string, turnstile string, ts timestamp_ntz, e int, x int")
+    w = Window.partitionBy("station", "turnstile").orderBy("ts", "e", "x")
+    expect = df.select("*", *[F.lag(c).over(w).alias("prev_" + c) for c in ("ts", "e", "x")])
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = series_lag(df, ["station", "turnstile"], ["ts", "e", "x"], ["ts", "e", "x"], chunk_days=7, max_rows_per_chunk=300)
+        assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
+        per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(per_task) >= 3 and max(per_task) < 0.6 * 3000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
