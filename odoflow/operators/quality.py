@@ -74,3 +74,13 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataF
             "rows",
         )
     )
+
+
+def adaptive_histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
+    """AG18 (adaptive form): ``histogram_numeric`` bin centres and heights.
+
+    One aggregate with a bounded state per task (``bins`` centroids), merged
+    across tasks: approximate, for the shape of a distribution.
+    """
+    h = df.agg(F.histogram_numeric(F.col(col).cast("double"), F.lit(bins)).alias("h"))
+    return h.select(F.explode("h").alias("b")).select(F.col("b.x").alias("center"), F.col("b.y").alias("height"))

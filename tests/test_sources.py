@@ -80,3 +80,14 @@ def test_quality_reports(spark):
     assert c == {"big": 2, "nullk": 1}
     rc = {r.stage: r.rows for r in dq.row_counts({"all": df, "some": df.filter("v > 1")}).collect()}
     assert rc == {"all": 4, "some": 2}
+
+
+def test_clean_header_names_and_adaptive_histogram(spark, tmp_path):
+    d = str(tmp_path / "padded")
+    _write(d, "240106.txt", ["A,R,S,ST,L,BMT,01/02/2024,03:00:00,REGULAR,1,2\n"])
+    inferred = spark.read.option("header", True).csv(d + "/240106.txt")
+    assert inferred.columns[-1] != "EXITS"  # the padded name as it comes
+    assert files.clean_header_names(inferred).columns[-1] == "EXITS"
+    df = spark.createDataFrame([(float(i % 10),) for i in range(1000)], "v double")
+    h = dq.adaptive_histogram(df, "v", 5).collect()
+    assert len(h) <= 5 and abs(sum(r.height for r in h) - 1000) < 1e-6
