@@ -63,3 +63,18 @@ def checkpoint_root(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
     return root
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, total_cores: int, target_bytes: int = 256 << 20) -> int:
+    """Size shuffles for a run over ``input_bytes`` of input on ``total_cores`` cores.
+
+    Shuffle partitions = input / target (at least 2 waves of the cores), AQE's
+    advisory size and the file split size = target, so a task handles about
+    ``target_bytes`` before and after each shuffle; AQE still coalesces small
+    shuffles and splits skewed ones. Returns the partition count set.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    return parts

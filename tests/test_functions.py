@@ -65,3 +65,17 @@ def test_code_maps(spark):
     assert one(df, C.label_code(C.BOROUGH_CODES, "l")) == 4
     assert one(df, C.code_label(C.DOW_CODES, "c")) == "Wednesday"
     assert one(df, C.label_code(C.BOROUGH_CODES, F.lit("Nowhere"))) is None
+
+
+def test_size_for_input(spark):
+    from odoflow.session import size_for_input
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        # 100 TB on 1000 executors x 8 cores: about 400k partitions of 256 MB
+        assert size_for_input(spark, 100 * 2**40, 8000) == 409600
+        assert size_for_input(spark, 10 * 2**20, 8) == 16  # small input: two waves of the cores
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128MB")
