@@ -86,3 +86,24 @@ def test_hours_difference(spark):
     st = _series(spark, [(0, 1, 1), (2 * 86400 + 5 * 3600 + 59 * 60, 2, 2)])
     r = with_raw_diffs(st).filter(F.col("seconds_diff").isNotNull()).collect()[0]
     assert r.hours_difference == 53 and r.seconds_diff == 2 * 86400 + 5 * 3600 + 59 * 60
+
+
+def test_stage_with_seed_frames_equals_literal_maps(spark, tmp_path):
+    from odoflow.schemas import DIVISION_LABEL_SCHEMA, STATION_LABEL_SCHEMA
+    from odoflow.sources import seeds
+
+    path = tmp_path / "station_label_override.csv"
+    path.write_text("STATION_SRC,STATION_DEST\nOLD-X,S-L\n")
+    slo = seeds.load_seed(spark, str(path), STATION_LABEL_SCHEMA)
+    dlo = seeds.seed_frame(spark, [("PTH", "-PATH")], DIVISION_LABEL_SCHEMA)
+    raw = raw_rows(spark, [R(), R(station="OLD", line="X", t="20:00:00"), R(div="PTH", t="12:00:00")])
+    via_join = stage(raw, slo, dlo, RULES)
+    via_map = stage(raw, {"OLD-X": "S-L"}, {"PTH": "-PATH"}, RULES)
+    assert via_join.exceptAll(via_map).count() == 0 and via_map.exceptAll(via_join).count() == 0
+    assert len(seeds.STATION_LABELS) == 24 and seeds.station_labels(spark).count() == 24
+
+
+def test_stage_notebook_preset(spark):
+    raw = raw_rows(spark, [R(), R(), R(div="PTH", t="09:00:00"), R(desc="RECOVR AUD", t="10:00:00")])
+    nb = stage_v1(raw, {}, dedup="raw", division_suffix=False)
+    assert sorted((r.station, r.date_time.hour) for r in nb.collect()) == [("S-L", 4), ("S-L", 9)]
