@@ -43,6 +43,28 @@ def series_stats(
     return stats.withColumn(name, cutoff_value(F.col("mean"), F.col("sd"), F.col("n"), rule))
 
 
+def both_cutoffs(
+    diffed: DataFrame,
+    rule: CutoffRule = CutoffRule(),
+    keys: Sequence[str] = ("station", "turnstile"),
+) -> DataFrame:
+    """entries_cutoff and exits_cutoff per series from ONE aggregation.
+
+    Conditional aggregates over the positive values of each counter; a
+    series with no positive value gets n = 0, hence the floor, exactly as a
+    series missing from a per-counter statistics table.
+    """
+    aggs = []
+    for v in ("entries", "exits"):
+        pos = F.when(F.col(v) > 0, F.col(v))
+        aggs += [F.avg(pos).alias(f"_m_{v}"), F.stddev_samp(pos).alias(f"_s_{v}"), F.count(pos).alias(f"_n_{v}")]
+    stats = diffed.groupBy(*keys).agg(*aggs)
+    return stats.select(
+        *keys,
+        *[cutoff_value(F.col(f"_m_{v}"), F.col(f"_s_{v}"), F.col(f"_n_{v}"), rule).alias(f"{v}_cutoff") for v in ("entries", "exits")],
+    )
+
+
 def apply_cutoffs(
     diffed: DataFrame,
     entry_stats: DataFrame | None,
@@ -87,6 +109,18 @@ def cutoff_clean(
     exit_cutoff='per_series' applies the exit statistics (notebook);
     'default' reproduces the script, whose exit update never ran.
     """
-    entry = series_stats(diffed, "entries", rule, keys)
-    exit_ = series_stats(diffed, "exits", rule, keys) if exit_cutoff == "per_series" else None
-    return drop_all_zero(apply_cutoffs(diffed, entry, exit_, float(rule.floor), keys))
+    if exit_cutoff == "per_series":
+        # both statistics in one pass: the diff feeds two consumers, not three
+        both = both_cutoffs(diffed, rule, keys)
+        cut = diffed.join(both, on=list(keys), how="left")
+    else:
+        entry = series_stats(diffed, "entries", rule, keys).select(*keys, "entries_cutoff")
+        cut = diffed.join(entry, on=list(keys), how="left").withColumn("exits_cutoff", F.lit(float(rule.floor)))
+    floor = F.lit(float(rule.floor))
+    cut = cut.withColumn("entries_cutoff", F.coalesce("entries_cutoff", floor)).withColumn(
+        "exits_cutoff", F.coalesce("exits_cutoff", floor)
+    )
+    keep = ~F.coalesce(F.col("entries") > F.col("entries_cutoff"), F.lit(False)) & ~F.coalesce(
+        F.col("exits") > F.col("exits_cutoff"), F.lit(False)
+    )
+    return drop_all_zero(cut.filter(keep).drop("entries_cutoff", "exits_cutoff"))
