@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from odoflow.operators import quality as dq
@@ -25,7 +25,14 @@ from odoflow.params import DBT_CUTOFF, DBT_DIFF, CutoffRule, DiffPolicy, Staging
 from odoflow.sources.files import scratch_path
 
 
-def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+def _write(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, counts: dict[str, Observation] | None = None
+) -> DataFrame:
+    if counts is not None:
+        # DQ6 without an extra pass: the row count is a metric of the write itself
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+        counts[name] = Observation(name)
+        df = df.observe(counts[name], F.count(F.lit(1)).alias("rows"))
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -46,19 +53,27 @@ def build_models(
     start_date: date | None = None,
     root: str | None = None,
     chunk_days: int = 7,
+    row_counts: dict[str, int] | None = None,
 ) -> dict[str, DataFrame]:
-    """Run the build; return the materialized models (read back from Parquet)."""
+    """Run the build; return the materialized models (read back from Parquet).
+
+    Pass a dict as ``row_counts`` to receive the rows written per model
+    (collected as observed metrics of the writes).
+    """
     root = (root or scratch_path(spark, "models")).rstrip("/")
     start = start_date or rules.start_date
-    staging = _write(stage(raw, station_labels, division_labels, rules), f"{root}/mta_staging")
-    diff = _write(difference(staging, policy, chunk_days=chunk_days), f"{root}/mta_diff")
-    entry_avg = _write(series_stats(diff, "entries", cutoff), f"{root}/entry_avg")
-    exit_avg = _write(series_stats(diff, "exits", cutoff), f"{root}/exit_avg")
-    stations = _write(station_list(diff, station_map, borough_map), f"{root}/station_list")
+    obs: dict[str, Observation] | None = {} if row_counts is not None else None
+    staging = _write(stage(raw, station_labels, division_labels, rules), f"{root}/mta_staging", counts=obs)
+    diff = _write(difference(staging, policy, chunk_days=chunk_days), f"{root}/mta_diff", counts=obs)
+    entry_avg = _write(series_stats(diff, "entries", cutoff), f"{root}/entry_avg", counts=obs)
+    exit_avg = _write(series_stats(diff, "exits", cutoff), f"{root}/exit_avg", counts=obs)
+    stations = _write(station_list(diff, station_map, borough_map), f"{root}/station_list", counts=obs)
     # one folder per day: cohort date ranges become partition filters (directory pruning).
     # A day holds at most stations x 8 buckets rows, so repartition("date") is bounded.
     hourly = hourly_clean(diff, stations=stations, start_date=start)
-    clean = _write(hourly.repartition("date"), f"{root}/mta_clean", ["date"]).select(*HOURLY_COLUMNS)
+    clean = _write(hourly.repartition("date"), f"{root}/mta_clean", ["date"], counts=obs).select(*HOURLY_COLUMNS)
+    if obs is not None:
+        row_counts.update({name: o.get["rows"] for name, o in obs.items()})
     return {
         "mta_staging": staging,
         "mta_diff": diff,

@@ -11,9 +11,13 @@ SF = "/root/testdata/sf0.001"
 
 def test_weekly_build_views_and_dashboard(spark):
     p = Pipeline(spark, SF)
+    counts: dict[str, int] = {}
     models = build_models(
-        spark, p.raw, p.station_map, p.borough_map, p.station_labels, p.division_labels, PROXY_RULES
+        spark, p.raw, p.station_map, p.borough_map, p.station_labels, p.division_labels, PROXY_RULES,
+        row_counts=counts,
     )
+    assert counts["mta_staging"] == p.staging.count() == models["mta_staging"].count()
+    assert counts["mta_clean"] == models["mta_clean"].count() and set(counts) >= {"mta_diff", "station_list"}
     # materialized models equal the lazy chain
     assert models["mta_clean"].exceptAll(p.hourly_clean).count() == 0
     assert p.hourly_clean.exceptAll(models["mta_clean"]).count() == 0
