@@ -17,7 +17,9 @@ from odoflow.operators.diff import apply_policy, difference, with_raw_diffs
 from odoflow.operators.hourly import hourly_clean
 from odoflow.operators.staging import stage, stage_pandas, stage_v1
 from odoflow.operators.stations import station_list
-from odoflow.params import DBT_CUTOFF, DBT_DIFF, PANDAS_DIFF, V1_CUTOFF, V1_DIFF, CohortFilter, StagingRules
+from odoflow.params import (
+    DBT_CUTOFF, DBT_DIFF, NOTEBOOK_CUTOFF, PANDAS_DIFF, V1_CUTOFF, V1_DIFF, CohortFilter, StagingRules,
+)
 from odoflow.sources import proxy
 
 # Fixed values of the proxy: the script variant's station fixes (plays the 15-entry dict).
@@ -120,6 +122,21 @@ class Pipeline:
     def cutoff_filtered(self) -> DataFrame:
         return cutoff_clean(self.v1_diff, V1_CUTOFF, exit_cutoff="per_series")
 
+    @cached_property
+    def cutoff_script(self) -> DataFrame:
+        """The script as it ran: its exit-cutoff update was never executed."""
+        return cutoff_clean(self.v1_diff, V1_CUTOFF, exit_cutoff="default")
+
+    @cached_property
+    def nb_diff(self) -> DataFrame:
+        staged = stage_v1(self.raw, PROXY_V1_FIXES, dedup="raw", division_suffix=False)
+        raw_diffs = with_raw_diffs(staged, chunk_days=self.chunk_days)
+        return apply_policy(raw_diffs, V1_DIFF).withColumn("date", F.to_date("date_time"))
+
+    @cached_property
+    def cutoff_notebook(self) -> DataFrame:
+        return cutoff_clean(self.nb_diff, NOTEBOOK_CUTOFF, exit_cutoff="per_series")
+
     # -- pandas chain ------------------------------------------------------
     @cached_property
     def pandas_diff(self) -> DataFrame:
