@@ -13,33 +13,32 @@ from odoflow.operators.stations import with_station_attributes
 HOURLY_COLUMNS = ["date", "hour", "station", "boro", "entries", "exits"]
 
 
-def hourly_clean(
-    diffed: DataFrame,
-    stations: DataFrame | None = None,
-    station_map: DataFrame | None = None,
-    borough_map: DataFrame | None = None,
-    start_date: date = date(2019, 1, 1),
-    merge_midnight: bool = False,
-    width_hours: int = 4,
-) -> DataFrame:
-    """Sum entries/exits per (date, hour bucket, pretty station name, borough).
-
-    Hour buckets are rounded half-up (22:00-23:59 -> 24, 00:00-01:59 -> 0);
-    groups whose sums are both 0 are dropped; bucket 0 then becomes hour 24
-    of the previous day, and days before ``start_date`` are dropped. With
-    ``merge_midnight=False`` (the reference) a moved bucket is not merged
-    with the hour-24 bucket of that day, so (date, 24, station) may repeat.
+def reduce_to_buckets(diffed: DataFrame, width_hours: int = 4) -> DataFrame:
+    """(date, hour bucket, station) sums of the differences.
 
-    Plan: the diff is first reduced to (date, bucket, station) - the partial
-    aggregate runs in the window stage - and only that small result meets the
-    station attributes (broadcast joins to the dimensions, or to a given
-    materialized station list).
+    The partial aggregate runs inside the window stage of the diff, so this
+    small result is what crosses the network. It carries every station of the
+    diff, so the station list can be taken from it too. (In one lazy query
+    Catalyst prunes the sums from the station branch, so the two branches
+    share the exchange below the window but not the window itself; the
+    weekly build materializes the diff, so there neither is recomputed.)
     """
-    pre = diffed.groupBy(
+    return diffed.groupBy(
         F.to_date("date_time").alias("date"),
         hour_bucket("date_time", width_hours).alias("hour"),
         "station",
     ).agg(F.sum("entries").alias("entries"), F.sum("exits").alias("exits"))
+
+
+def hourly_from_buckets(
+    pre: DataFrame,
+    stations: DataFrame | None = None,
+    station_map: DataFrame | None = None,
+    borough_map: DataFrame | None = None,
+    start_date: date = date(2019, 1, 1),
+    merge_midnight: bool = False,
+) -> DataFrame:
+    """Name/borough the bucket sums and regroup them (see ``hourly_clean``)."""
     if stations is None:
         # A station's name and borough depend only on its own dimension rows,
         # so the reduced facts join the small dimensions directly: no
@@ -68,3 +67,29 @@ def hourly_clean(
             F.sum("entries").cast("int").alias("entries"), F.sum("exits").cast("int").alias("exits")
         )
     return moved.select(*HOURLY_COLUMNS)
+
+
+def hourly_clean(
+    diffed: DataFrame,
+    stations: DataFrame | None = None,
+    station_map: DataFrame | None = None,
+    borough_map: DataFrame | None = None,
+    start_date: date = date(2019, 1, 1),
+    merge_midnight: bool = False,
+    width_hours: int = 4,
+) -> DataFrame:
+    """Sum entries/exits per (date, hour bucket, pretty station name, borough).
+
+    Hour buckets are rounded half-up (22:00-23:59 -> 24, 00:00-01:59 -> 0);
+    groups whose sums are both 0 are dropped; bucket 0 then becomes hour 24
+    of the previous day, and days before ``start_date`` are dropped. With
+    ``merge_midnight=False`` (the reference) a moved bucket is not merged
+    with the hour-24 bucket of that day, so (date, 24, station) may repeat.
+
+    Plan: the diff is first reduced to (date, bucket, station) - the partial
+    aggregate runs in the window stage - and only that small result meets the
+    station attributes (broadcast joins to the dimensions, or to a given
+    materialized station list).
+    """
+    pre = reduce_to_buckets(diffed, width_hours)
+    return hourly_from_buckets(pre, stations, station_map, borough_map, start_date, merge_midnight)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from odoflow.operators import cohorts as co
 from odoflow.operators.cutoff import cutoff_clean, drop_all_zero, series_stats
 from odoflow.operators.diff import apply_policy, difference, with_raw_diffs
-from odoflow.operators.hourly import hourly_clean
+from odoflow.operators.hourly import hourly_from_buckets, reduce_to_buckets
 from odoflow.operators.staging import stage, stage_pandas, stage_v1
 from odoflow.operators.stations import station_list
 from odoflow.params import (
@@ -77,13 +77,18 @@ class Pipeline:
     def diff(self) -> DataFrame:
         return apply_policy(self.diff_all, DBT_DIFF)
 
+    @cached_property
+    def buckets(self) -> DataFrame:
+        """(date, 4-hour bucket, station) sums: shared by the facts and the station list."""
+        return reduce_to_buckets(self.diff)
+
     @cached_property
     def station_list(self) -> DataFrame:
-        return station_list(self.diff, self.station_map, self.borough_map)
+        return station_list(self.buckets, self.station_map, self.borough_map)
 
     def hourly(self, merge_midnight: bool = False) -> DataFrame:
-        return hourly_clean(
-            self.diff, station_map=self.station_map, borough_map=self.borough_map,
+        return hourly_from_buckets(
+            self.buckets, station_map=self.station_map, borough_map=self.borough_map,
             start_date=proxy.PROXY_START, merge_midnight=merge_midnight,
         )
 
