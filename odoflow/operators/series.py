@@ -17,6 +17,10 @@ Boundary rows come from a map-side partial aggregate per (series, chunk) and
 a window over that small table (one row per chunk). One big exchange (the
 window's), no second sort.
 
+Rows are ordered NULLS LAST (a reading without a time sorts after the
+timed ones, as in the SQL engine the queries come from); NULL times form the
+last chunk of their series.
+
 Chunks are adaptive: rows are counted per (series, coarse chunk) with a
 partial aggregate, and only coarse chunks holding more than
 ``max_rows_per_chunk`` rows are cut into k equal time slices (k = count /
@@ -135,15 +139,19 @@ def series_lag(
 
     key = order_key(order, dict(staged.dtypes))
     last = staged.groupBy(*keys, CHUNK).agg(*[F.max_by(c, key).alias("_last_" + c) for c in cols])
+    # next non-empty chunk; wrapped in a struct so that "no next chunk" (NULL
+    # struct) differs from "next is the NULL-time chunk" (struct holding NULL)
     nxt = last.select(
         *keys,
-        F.lead(CHUNK).over(Window.partitionBy(*keys).orderBy(CHUNK)).alias(CHUNK),
+        F.lead(F.struct(F.col(CHUNK).alias("c"))).over(
+            Window.partitionBy(*keys).orderBy(F.col(CHUNK).asc_nulls_last())
+        ).alias("_next"),
         *["_last_" + c for c in cols],
-    ).filter(F.col(CHUNK).isNotNull())
+    ).filter(F.col("_next").isNotNull()).withColumn(CHUNK, F.col("_next.c"))
     values = {k: F.col(k) for k in keys} | {CHUNK: F.col(CHUNK)} | {c: F.col("_last_" + c) for c in cols}
     boundary = nxt.select(*_boundary_rows(staged, values))
 
-    w = Window.partitionBy(*keys, CHUNK).orderBy(F.col(REAL), *[F.col(c) for c in order])
+    w = Window.partitionBy(*keys, CHUNK).orderBy(F.col(REAL), *[F.col(c).asc_nulls_last() for c in order])
     lagged = staged.unionByName(boundary).withColumn("_prev", F.lag(F.struct(*cols)).over(w))
     return lagged.filter(F.col(REAL) == 1).select(
         *[F.col(c) for c in df.columns], *[F.col("_prev").getField(c).alias(prefix + c) for c in cols]
@@ -167,7 +175,7 @@ def series_running_sum(
     staged = with_chunks(df, keys, order[0], chunk_days, max_rows_per_chunk).withColumn(REAL, F.lit(1))
 
     totals = staged.groupBy(*keys, CHUNK).agg(*[F.sum(c).alias("_tot_" + c) for c in cols])
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(F.col(CHUNK).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, CHUNK, *[F.sum("_tot_" + c).over(before).alias(c) for c in cols]).filter(
         F.col(cols[0]).isNotNull()
     )
@@ -176,7 +184,7 @@ def series_running_sum(
 
     w = (
         Window.partitionBy(*keys, CHUNK)
-        .orderBy(F.col(REAL), *[F.col(c) for c in order])
+        .orderBy(F.col(REAL), *[F.col(c).asc_nulls_last() for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     summed = staged.unionByName(boundary).select("*", *[F.sum(c).over(w).alias(prefix + c) for c in cols])

@@ -82,3 +82,15 @@ def test_hot_chunk_is_split_by_row_count(spark):
         assert len(per_task) >= 3 and max(per_task) < 0.6 * 3000
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+
+
+def test_null_times_sort_last_like_the_sql_engine(spark):
+    from datetime import datetime
+
+    rows = [("s", "t", datetime(2024, 1, d), d, d) for d in (1, 9, 20)] + [("s", "t", None, 99, 98), ("s", "t", None, 97, 96)]
+    df = spark.createDataFrame(rows, "station string, turnstile string, ts timestamp_ntz, e int, x int")
+    w = Window.partitionBy("station", "turnstile").orderBy(*[F.col(c).asc_nulls_last() for c in ("ts", "e", "x")])
+    expect = df.select("*", *[F.lag(c).over(w).alias("prev_" + c) for c in ("ts", "e", "x")])
+    got = series_lag(df, ["station", "turnstile"], ["ts", "e", "x"], ["ts", "e", "x"], chunk_days=7)
+    assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
+    assert got.filter("ts is null and prev_e = 20").count() == 1  # first untimed reading follows the last timed one
