@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from odoflow.operators.series import CHUNK
 from odoflow.params import V1_CUTOFF, CutoffRule
 
 
@@ -111,11 +112,21 @@ def cutoff_clean(
     """
     if exit_cutoff == "per_series":
         # both statistics in one pass: the diff feeds two consumers, not three
-        both = both_cutoffs(diffed, rule, keys)
-        cut = diffed.join(both, on=list(keys), how="left")
+        stats = both_cutoffs(diffed, rule, keys)
     else:
-        entry = series_stats(diffed, "entries", rule, keys).select(*keys, "entries_cutoff")
-        cut = diffed.join(entry, on=list(keys), how="left").withColumn("exits_cutoff", F.lit(float(rule.floor)))
+        stats = series_stats(diffed, "entries", rule, keys).select(*keys, "entries_cutoff").withColumn(
+            "exits_cutoff", F.lit(float(rule.floor))
+        )
+    on = list(keys)
+    if CHUNK in diffed.columns:
+        # Chunk-aligned join: the diff is already hash-partitioned on
+        # (keys, _chunk) by its window, so the statistics are replicated to the
+        # (series, chunk) pairs that exist (one small row each) and joined on
+        # those keys - only the small side moves, even for a hot series.
+        pairs = diffed.select(*keys, CHUNK).distinct()
+        stats = pairs.join(stats, on=on, how="inner")
+        on = [*on, CHUNK]
+    cut = diffed.join(stats, on=on, how="left")
     floor = F.lit(float(rule.floor))
     cut = cut.withColumn("entries_cutoff", F.coalesce("entries_cutoff", floor)).withColumn(
         "exits_cutoff", F.coalesce("exits_cutoff", floor)
@@ -123,4 +134,4 @@ def cutoff_clean(
     keep = ~F.coalesce(F.col("entries") > F.col("entries_cutoff"), F.lit(False)) & ~F.coalesce(
         F.col("exits") > F.col("exits_cutoff"), F.lit(False)
     )
-    return drop_all_zero(cut.filter(keep).drop("entries_cutoff", "exits_cutoff"))
+    return drop_all_zero(cut.filter(keep).drop("entries_cutoff", "exits_cutoff", CHUNK))

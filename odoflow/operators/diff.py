@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odoflow.functions.columns import interval_hours, seconds_between
-from odoflow.operators.series import series_lag
+from odoflow.operators.series import CHUNK, series_lag
 from odoflow.params import DBT_DIFF, DiffPolicy
 
 DIFF_COLUMNS = [
@@ -28,10 +28,12 @@ def with_raw_diffs(
     keys: Sequence[str] = ("station", "turnstile"),
     ts: str = "date_time",
     chunk_days: int = 7,
+    keep_chunk: bool = False,
 ) -> DataFrame:
     """Signed differences (NULL for the first reading) plus the time gap.
 
-    Adds entries_raw, exits_raw (INT), seconds_diff and hours_difference (BIGINT).
+    Adds entries_raw, exits_raw (INT), seconds_diff and hours_difference
+    (BIGINT); with ``keep_chunk`` also the internal ``_chunk`` id.
     """
     lagged = series_lag(
         staged,
@@ -40,9 +42,11 @@ def with_raw_diffs(
         cols=[ts, "entry_counter", "exit_counter"],
         prefix="prev_",
         chunk_days=chunk_days,
+        keep_chunk=keep_chunk,
     )
     return lagged.select(
         *[F.col(c) for c in staged.columns],
+        *([F.col(CHUNK)] if keep_chunk else []),
         (F.col("entry_counter") - F.col("prev_entry_counter")).alias("entries_raw"),
         (F.col("exit_counter") - F.col("prev_exit_counter")).alias("exits_raw"),
         seconds_between(F.col("prev_" + ts), F.col(ts)).alias("seconds_diff"),
@@ -92,7 +96,8 @@ def apply_policy(raw_diffs: DataFrame, policy: DiffPolicy = DBT_DIFF) -> DataFra
     if policy.max_gap_s is not None:
         cond = cond & (F.col("seconds_diff") < F.lit(policy.max_gap_s))
     cond = cond & _keep(F.col("entries"), policy, policy.entry_cap) & _keep(F.col("exits"), policy, policy.exit_cap)
-    return shaped.filter(F.coalesce(cond, F.lit(False))).select(*DIFF_COLUMNS)
+    extra = [CHUNK] if CHUNK in raw_diffs.columns else []
+    return shaped.filter(F.coalesce(cond, F.lit(False))).select(*DIFF_COLUMNS, *extra)
 
 
 def difference(

@@ -126,9 +126,14 @@ def series_lag(
     prefix: str = "prev_",
     chunk_days: int = 7,
     max_rows_per_chunk: int = MAX_ROWS_PER_CHUNK,
+    keep_chunk: bool = False,
 ) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` in the previous row of the same series.
 
+    With ``keep_chunk`` the chunk id stays as column ``_chunk``: the output is
+    hash-partitioned on (keys, _chunk), and a later join on those keys needs
+    no shuffle of this side.
+
     ``order[0]`` is the timestamp (chunks come from it), then at most two INT
     tie-breakers; rows must be unique in ``order`` within a series (true after
     the staging DISTINCT), so "last row of a chunk" is well defined. Equal to ``lag(c) over
@@ -154,7 +159,9 @@ def series_lag(
     w = Window.partitionBy(*keys, CHUNK).orderBy(F.col(REAL), *[F.col(c).asc_nulls_last() for c in order])
     lagged = staged.unionByName(boundary).withColumn("_prev", F.lag(F.struct(*cols)).over(w))
     return lagged.filter(F.col(REAL) == 1).select(
-        *[F.col(c) for c in df.columns], *[F.col("_prev").getField(c).alias(prefix + c) for c in cols]
+        *[F.col(c) for c in df.columns],
+        *[F.col("_prev").getField(c).alias(prefix + c) for c in cols],
+        *([F.col(CHUNK)] if keep_chunk else []),
     )
 
 

@@ -120,7 +120,8 @@ class Pipeline:
 
     @cached_property
     def v1_diff(self) -> DataFrame:
-        raw_diffs = with_raw_diffs(self.v1_staging, chunk_days=self.chunk_days)
+        # keeps the chunk id, so the cutoff join reuses the window's partitioning
+        raw_diffs = with_raw_diffs(self.v1_staging, chunk_days=self.chunk_days, keep_chunk=True)
         return apply_policy(raw_diffs, V1_DIFF).withColumn("date", F.to_date("date_time"))
 
     @cached_property
@@ -135,7 +136,7 @@ class Pipeline:
     @cached_property
     def nb_diff(self) -> DataFrame:
         staged = stage_v1(self.raw, PROXY_V1_FIXES, dedup="raw", division_suffix=False)
-        raw_diffs = with_raw_diffs(staged, chunk_days=self.chunk_days)
+        raw_diffs = with_raw_diffs(staged, chunk_days=self.chunk_days, keep_chunk=True)
         return apply_policy(raw_diffs, V1_DIFF).withColumn("date", F.to_date("date_time"))
 
     @cached_property

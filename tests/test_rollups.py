@@ -96,3 +96,27 @@ def test_cutoff_rules(spark):
 def test_drop_all_zero_keeps_nulls(spark):
     d = spark.createDataFrame([(0, 0), (None, 0), (1, 0)], "entries int, exits int")
     assert drop_all_zero(d).count() == 2
+
+
+def test_cutoff_join_reuses_the_window_partitioning(spark):
+    """With broadcasts off, the diff side of the cutoff join has no exchange of its own."""
+    from odoflow.params import V1_CUTOFF
+    from odoflow.plans.pipeline import Pipeline
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = cutoff_clean(Pipeline(spark, "/root/testdata/sf0.001").v1_diff, V1_CUTOFF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        i = next(n for n, line in enumerate(lines) if "SortMergeJoin" in line and "_chunk" in line)
+        big_side = "\n".join(lines[i + 1 : i + 6])
+        assert "Window" in big_side and "Exchange" not in big_side.split("Window")[0]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
