@@ -1,6 +1,6 @@
-"""The pipelines as lazy chains of operators over the proxy inputs.
+"""All stages of the computation as lazy chains of operators over the proxy inputs.
 
-``Pipeline`` builds each stage once per instance (lazily); stages are plain
+``Stages`` builds each stage once per instance (lazily); stages are plain
 DataFrames, so Catalyst sees and optimizes the whole chain of a query.
 """
 
@@ -34,7 +34,7 @@ PROXY_RULES = StagingRules(
 PROXY_FILTER = CohortFilter(dow=(1, 2, 3, 4, 5), tod=(8, 12, 16, 20), boro=(1, 2, 3))
 
 
-class Pipeline:
+class Stages:
     """All stages over one data folder. Each attribute is a lazy DataFrame."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, chunk_days: int = 7):
@@ -154,4 +154,4 @@ def drop_all_zero_positive(df: DataFrame) -> DataFrame:
     return df.filter((F.col("entries") > 0) | (F.col("exits") > 0))
 
 
-__all__ = ["Pipeline", "PROXY_FILTER", "PROXY_RULES", "PROXY_V1_FIXES", "drop_all_zero"]
+__all__ = ["Stages", "PROXY_FILTER", "PROXY_RULES", "PROXY_V1_FIXES", "drop_all_zero"]

@@ -1,7 +1,7 @@
 from odoflow.operators import cohorts as co
 from odoflow.plans import dashboard
 from odoflow.plans.build import build_models, model_tests
-from odoflow.plans.pipeline import PROXY_RULES, Pipeline
+from odoflow.plans.stages import PROXY_RULES, Stages
 from odoflow.plans.views import cohort_filter_sql, register_views
 from odoflow.sources import proxy
 from odoflow.sources.files import describe, save_table, drop_table, rename_table
@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_weekly_build_views_and_dashboard(spark):
-    p = Pipeline(spark, SF)
+    p = Stages(spark, SF)
     counts: dict[str, int] = {}
     models = build_models(
         spark, p.raw, p.station_map, p.borough_map, p.station_labels, p.division_labels, PROXY_RULES,

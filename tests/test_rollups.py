@@ -101,14 +101,14 @@ def test_drop_all_zero_keeps_nulls(spark):
 def test_cutoff_join_reuses_the_window_partitioning(spark):
     """With broadcasts off, the diff side of the cutoff join has no exchange of its own."""
     from odoflow.params import V1_CUTOFF
-    from odoflow.plans.pipeline import Pipeline
+    from odoflow.plans.stages import Stages
 
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k) for k in keys}
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        df = cutoff_clean(Pipeline(spark, "/root/testdata/sf0.001").v1_diff, V1_CUTOFF)
+        df = cutoff_clean(Stages(spark, "/root/testdata/sf0.001").v1_diff, V1_CUTOFF)
         plan = df._jdf.queryExecution().executedPlan().toString()
         lines = plan.splitlines()
         i = next(n for n, line in enumerate(lines) if "SortMergeJoin" in line and "_chunk" in line)
