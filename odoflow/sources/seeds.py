@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from odoflow.schemas import DIVISION_LABEL_SCHEMA, STATION_LABEL_SCHEMA
@@ -14,6 +15,27 @@ def load_seed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return df.toDF(*[f.name.lower() for f in schema.fields])
 
 
+def _by_name(spark: SparkSession, path: str) -> DataFrame:
+    df = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    return df.toDF(*[c.strip().lower() for c in df.columns])
+
+
+def load_station_map(spark: SparkSession, path: str) -> DataFrame:
+    """Station dimension CSV (any extra columns ignored), columns picked by name."""
+    df = _by_name(spark, path)
+    return df.select(
+        "station", "stop_name", "daytime_routes", "borough",
+        F.col("latitude").cast("double").alias("latitude"),
+        F.col("longitude").cast("double").alias("longitude"),
+        "cbd",
+    )
+
+
+def load_borough_map(spark: SparkSession, path: str) -> DataFrame:
+    """Borough dimension CSV: borough code and description."""
+    return _by_name(spark, path).select("borough", "borough_desc")
+
+
 def seed_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
     """IO8: literal rows as a DataFrame (size known when built)."""
     return spark.createDataFrame(rows, schema)

@@ -91,3 +91,18 @@ def test_clean_header_names_and_adaptive_histogram(spark, tmp_path):
     df = spark.createDataFrame([(float(i % 10),) for i in range(1000)], "v double")
     h = dq.adaptive_histogram(df, "v", 5).collect()
     assert len(h) <= 5 and abs(sum(r.height for r in h) - 1000) < 1e-6
+
+
+def test_dimension_csvs_by_name(spark, tmp_path):
+    from odoflow.sources import seeds
+
+    sm = tmp_path / "station_map.csv"
+    sm.write_text(
+        "Station,Complex,Stop_ID,Division,Line,Stop_Name,Borough,Daytime_Routes,Structure,Latitude,Longitude,North_Label,South_Label,CBD\n"
+        "59 ST-456NQRW,613,R11,BMT,Broadway,Lexington Av/59 St,M,N R W,Subway,40.76,-73.97,Uptown,Downtown,Y\n"
+    )
+    bm = tmp_path / "borough_map.csv"
+    bm.write_text("Borough,Borough_Desc\nM,Manhattan\n")
+    row = seeds.load_station_map(spark, str(sm)).first()
+    assert (row.station, row.stop_name, row.borough, row.latitude, row.cbd) == ("59 ST-456NQRW", "Lexington Av/59 St", "M", 40.76, "Y")
+    assert seeds.load_borough_map(spark, str(bm)).first().borough_desc == "Manhattan"
