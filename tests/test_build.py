@@ -45,3 +45,29 @@ def test_catalog_ddl(spark):
     assert spark.table("odoflow_test.t_ddl2").count() == 1
     drop_table(spark, "odoflow_test.t_ddl2")
     assert not spark.catalog.tableExists("odoflow_test.t_ddl2")
+
+
+def test_real_file_path_equals_lazy_chain(spark):
+    """Weekly CSV files + dimension CSVs -> build, equal to the chain over the driver tables."""
+    from datetime import date
+
+    from odoflow.params import StagingRules
+    from odoflow.sources import files, seeds
+    from odoflow.sources.files import scratch_path
+
+    p = Stages(spark, SF)
+    root = scratch_path(spark, "t-real")
+    files.write_reading_files(p.raw, f"{root}/landing")
+    p.station_map.coalesce(1).write.option("header", True).csv(f"{root}/station_map")
+    p.borough_map.coalesce(1).write.option("header", True).csv(f"{root}/borough_map")
+    models = build_models(
+        spark,
+        files.read_reading_files(spark, f"{root}/landing", glob="*.csv"),
+        seeds.load_station_map(spark, f"{root}/station_map"),
+        seeds.load_borough_map(spark, f"{root}/borough_map"),
+        station_labels=dict(proxy.PROXY_STATION_LABELS),
+        division_labels=dict(proxy.PROXY_DIVISION_LABELS),
+        rules=StagingRules(start_date=date(2024, 1, 1), exclude_stations=proxy.PROXY_EXCLUDED_STATIONS),
+    )
+    clean = models["mta_clean"]
+    assert clean.exceptAll(p.hourly_clean).count() == 0 and p.hourly_clean.exceptAll(clean).count() == 0
