@@ -71,3 +71,15 @@ def test_union_labelled_and_label_order(spark):
     u = co.union_labelled({"2019": a, "Selected": a, "Pandemic": a})
     order = co.label_order(F.col("when"), ["2019", "Selected", "Pandemic"])
     assert [r["when"] for r in u.orderBy(order).collect()] == ["2019", "Selected", "Pandemic"]
+
+
+def test_bound_parameter_sql_matches_dataframe_filter(spark):
+    from odoflow.plans.views import cohort_filter_sql
+
+    _hourly(spark).createOrReplaceTempView("t_hourly_params")
+    spec = CohortSpec("open", date(2024, 1, 10), None)
+    filt = CohortFilter(boro=(1,), sta=("A", "it's"))
+    via_sql = cohort_filter_sql(spark, "t_hourly_params", spec.start, None, boro=[1], sta=["A", "it's"])
+    via_df = co.tag_cohorts(_hourly(spark), [spec], filt).drop("cohort")
+    assert via_sql.count() == via_df.count() > 0
+    assert via_sql.exceptAll(via_df).count() == 0
