@@ -3,7 +3,7 @@
 DataFrame operations only. The index is a set of files in the shared folder:
 
 - ``directory``: 2**depth cells, each naming the bucket of all hash values that
-  start with the cell's bits. It starts with one bucket. While a bucket holds
+  start with the cell's bits. It starts with two buckets. While a bucket holds
   more distinct hash values than CAPACITY, it is split by its next bit; if it was
   the only bucket of its cells, the directory doubles first. The directory grows
   with (distinct values / CAPACITY), and joins to rows as Spark sees fit: a
@@ -35,7 +35,7 @@ MAX_DEPTH = 40
 
 def _cell(key: Column, depth: int) -> Column:
     """The first ``depth`` bits of the hash."""
-    return F.shiftrightunsigned(key, 64 - depth) if depth else F.lit(0).cast("long")
+    return F.shiftrightunsigned(key, 64 - depth)
 
 
 def build_directory(keys: DataFrame, scratch: Scratch, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
@@ -44,9 +44,10 @@ def build_directory(keys: DataFrame, scratch: Scratch, capacity: int = CAPACITY)
     ``bucket`` is the first cell value of the bucket at its own number of ``bits``,
     written with MAX_DEPTH bits, so buckets stay in the order of the hash.
     """
-    spark, depth = keys.sparkSession, 0
-    directory = scratch.save(spark.range(1).select(F.col("id").alias("cell"), F.lit(0).cast("long").alias("bucket"), F.lit(0).alias("bits")), "directory-0")
-    for step in range(1, MAX_DEPTH + 1):
+    spark, depth = keys.sparkSession, 1
+    halves = spark.range(2).select(F.col("id").alias("cell"), F.shiftleft("id", MAX_DEPTH - 1).alias("bucket"), F.lit(1).alias("bits"))
+    directory = scratch.save(halves, "directory-0")
+    for step in range(1, MAX_DEPTH):
         load = (
             keys.groupBy(_cell(F.col("key"), depth).alias("cell")).agg(F.count("*").alias("n"))
             .join(directory, "cell").groupBy("bucket", "bits").agg(F.sum("n").alias("n"))

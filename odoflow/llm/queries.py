@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from odoflow.llm import exact, packing, quality, rans, simhash, toxicity, winnow
+from odoflow.llm import exact, hmm, packing, quality, rans, simhash, toxicity, winnow
 from odoflow.llm.common import Scratch, table
 
 
@@ -34,6 +34,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and hidden Markov log10 probabilities of all documents."""
+    return hmm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -51,7 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("item_ids", 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_exact_dedup, op3_simhash, op4_quality, op6_packing, op7_toxicity, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_exact_dedup, op3_simhash, op4_quality, op5_hmm, op6_packing, op7_toxicity, op10_decontamination)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE = {
