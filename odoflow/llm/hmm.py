@@ -118,28 +118,38 @@ class Hmm:
         out[order] = total
         return out
 
-    def expected(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected starts, moves and emissions of sequences of one length (rows of ``x``)."""
-        rows, steps = x.shape
-        emit = np.ascontiguousarray(self.emit.T)
-        alpha, scale = np.empty((steps, rows, STATES), np.float32), np.empty((steps, rows))
-        now = None
+    def expected(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expected starts, moves and emissions of the sequences (none empty), side by side: longest first,
+        so that those which still go on at a step are the first rows."""
+        sequences = sorted(sequences, key=len, reverse=True)
+        lengths = np.array([len(x) for x in sequences])
+        steps = int(lengths[0])
+        live = np.searchsorted(-lengths, -np.arange(steps), "left")  # rows longer than t
+        first = np.concatenate([[0], np.cumsum(live)])
+        emit = np.ascontiguousarray(self.emit.T, np.float32)
+        move = self.move.astype(np.float32)
+        by_step = np.empty(first[-1], np.int64)  # classes, step after step
+        flat, at = np.concatenate(sequences), np.cumsum(lengths) - lengths
         for t in range(steps):
-            now = (now @ self.move if t else self.start) * emit[x[:, t]]
-            scale[t] = now.sum(axis=1)
-            now = now / scale[t][:, None]
-            alpha[t] = now
-        moves, emissions = np.zeros((STATES, STATES)), np.zeros((self.emit.shape[1], STATES))
-        beta = np.ones((rows, STATES))
+            by_step[first[t] : first[t + 1]] = flat[at[: live[t]] + t]
+        seen = emit[by_step]
+        alpha, scale = np.empty_like(seen), np.empty(len(seen), np.float32)
+        for t in range(steps):
+            rows = slice(first[t], first[t + 1])
+            now = (alpha[first[t - 1] : first[t - 1] + live[t]] @ move if t else self.start.astype(np.float32)) * seen[rows]
+            scale[rows] = now.sum(axis=1)
+            alpha[rows] = now / scale[rows][:, None]
+        moves, beta = np.zeros((STATES, STATES)), np.ones((live[0], STATES), np.float32)
         for t in range(steps - 1, -1, -1):
-            both = alpha[t] * beta
-            for s in range(STATES):
-                emissions[:, s] += np.bincount(x[:, t], both[:, s], len(emissions))
+            n, rows = live[t], slice(first[t], first[t + 1])
+            if t:
+                ahead = seen[rows] * beta[:n] / scale[rows][:, None]
+                moves += alpha[first[t - 1] : first[t - 1] + n].T @ ahead
+            alpha[rows] *= beta[:n]  # from here on the state probabilities
             if t:
-                ahead = emit[x[:, t]] * beta / scale[t][:, None]
-                moves += alpha[t - 1].T @ ahead
-                beta = ahead @ self.move.T
-        return both.sum(axis=0), moves * self.move, emissions.T
+                beta[:n] = ahead @ move.T
+        emissions = np.stack([np.bincount(by_step, alpha[:, s], self.emit.shape[1]) for s in range(STATES)])
+        return alpha[: live[0]].sum(axis=0), moves * self.move, emissions
 
     def update(self, starts: np.ndarray, moves: np.ndarray, emissions: np.ndarray, mass: np.ndarray) -> None:
         """Normalised expected counts; a little of the class masses keeps every class possible."""
@@ -149,16 +159,9 @@ class Hmm:
         self.start = starts / starts.sum()
 
 
-def _stretches(sequences: list[np.ndarray]) -> dict[int, np.ndarray]:
-    """Sequences cut into stretches of at most STRETCH tokens, by length."""
-    by: dict[int, list[np.ndarray]] = {}
-    for s in sequences:
-        full = len(s) // STRETCH
-        if full:
-            by.setdefault(STRETCH, []).extend(s[: full * STRETCH].reshape(full, STRETCH))
-        if len(s) % STRETCH:
-            by.setdefault(len(s) % STRETCH, []).append(s[full * STRETCH :])
-    return {n: np.stack(v) for n, v in by.items()}
+def _stretches(sequences: list[np.ndarray]) -> list[np.ndarray]:
+    """Sequences cut into stretches of at most STRETCH tokens."""
+    return [x[i : i + STRETCH] for x in sequences for i in range(0, len(x), STRETCH)]
 
 
 def _sequences(column: pa.Array) -> Iterator[list[np.ndarray]]:
@@ -181,8 +184,7 @@ def _summed(hmm: Hmm):
         parts = [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, Classes.count))]
         for batch in batches:
             for sequences in _sequences(batch.column(0)):
-                for x in _stretches(sequences).values():
-                    parts = [a + b for a, b in zip(parts, hmm.expected(x))]
+                parts = [a + b for a, b in zip(parts, hmm.expected(_stretches(sequences)))]
         flat = np.concatenate([p.ravel() for p in parts])
         at = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(flat[at])], names=["place", "value"])
