@@ -2,7 +2,7 @@
 
 The library spends most of its time in splitting and bookkeeping, so each
 distinct piece of text between split points is encoded by the library's BPE
-model once and remembered (a bounded memory). Texts with characters beyond
+model once and remembered (MEMORY pieces at most). Texts with characters beyond
 ASCII and the Latin-1 letters go through the library's whole encoder instead,
 as Python's character classes are certain to agree only there.
 """
@@ -10,13 +10,14 @@ as Python's character classes are certain to agree only there.
 from __future__ import annotations
 
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-MEMORY = 400_000
+MEMORY = 1_000_000
 
 # The split rule of this byte-level vocabulary, for ASCII and Latin-1 letters.
 _SPLIT = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
@@ -43,7 +44,8 @@ class _Known(dict):
         if len(self) >= MEMORY:
             self.clear()
         shown = piece.encode().decode("latin-1").translate(self.table)
-        ids = self[piece] = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        tokens = self.model.tokenize(shown)
+        ids = self[piece] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
         return ids
 
 
