@@ -2,22 +2,17 @@
 
 Whole texts become pieces of at most ``max_tokens`` ids; only longer documents
 are cut (a shorter first piece, then full pieces, each full piece a sequence of
-its own). The rest is packed in rounds, each over all waiting pieces and all
-open gaps at once:
-
-1. pieces and gaps stand in descending order of size;
-2. one sweep matches every piece with its successor, the smallest free gap that
-   holds it (a stack: the last gap passed is the smallest that fits), at most
-   one piece a gap and round;
-3. among equal sizes the rank decides: the k-th piece of a size takes the k-th
-   gap of the matched class;
-4. matched gaps shrink; pieces of more than half a sequence that found none open
-   sequences, as do, once a sweep places few, the largest waiting pieces, as
-   many as the waiting tokens need.
-
-Sizes are whole numbers up to ``max_tokens``, so the sweep runs over size
-classes (size, count) in place of single rows: the outcome is the same, and a
-round's state is bounded by the sequence length, not by the corpus. Spark does
+its own). The rest is packed in rounds, in descending order of size:
+
+1. pieces and gaps stand in order of size; a round takes the waiting pieces of the
+   largest size and sweeps to its successor among the gaps, the smallest that holds it;
+2. the rank decides among equals: the k-th waiting piece takes the k-th such gap;
+3. matched gaps shrink, and are gaps of their new size in the next round; pieces that
+   no gap holds open sequences, no more than they fill themselves.
+
+Sizes are whole numbers up to ``max_tokens``, so the sweeps run over size
+classes (size, count) in place of single rows: the outcome is the same, and their
+state is bounded by the sequence length, not by the corpus. Spark does
 what grows with the corpus: tokenising, the range sort of all pieces by size,
 the count of each size and range (ranks), and the hand-out of each piece to its
 sequence by rank. The k-th piece of a size is found from its range's first rank
@@ -32,6 +27,7 @@ columns are ignored.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 
@@ -45,8 +41,6 @@ from odoflow.llm.common import Scratch, whole_text
 from odoflow.llm.tokens import TOKENIZER, encoder
 
 MAX_TOKENS = 2048
-#: A sweep that places less than this share of the waiting pieces lets half the sequences that the rest needs be opened.
-FEW = 0.01
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _RANKED = f"{_PIECE}, range int, place long"
@@ -96,57 +90,45 @@ def _place_in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 class Quota:
     """Rounds of matching over size classes; the outcome as rank intervals of each size.
 
-    A gap class is a set of sequences with the same free room, filled alike so far:
-    (room, first sequence, count). ``slots[size]`` lists (first rank, count, first
-    sequence, offset): the pieces of that size with these ranks go to consecutive
-    sequences, at that offset.
+    ``gaps[room]`` lists (first sequence, count) of the sequences with that free room.
+    ``slots[size]`` lists (first rank, count, first sequence, offset): the pieces of
+    that size with these ranks go to consecutive sequences, at that offset.
     """
 
     def __init__(self, counts: dict[int, int], size: int) -> None:
-        self.size, self.used = size, 0
-        self.waiting = {k: n for k, n in sorted(counts.items(), reverse=True) if n}
-        self.next_rank: Counter[int] = Counter()
+        self.size, self.used, self.rounds = size, 0, 0
         self.slots: dict[int, list[tuple[int, int, int, int]]] = {}
-        self.gaps: list[tuple[int, int, int]] = []
-        self.rounds = 0
-        while self.waiting:
-            self._round()
-
-    def _put(self, length: int, n: int, sequence: int, offset: int) -> None:
-        self.slots.setdefault(length, []).append((self.next_rank[length], n, sequence, offset))
-        self.next_rank[length] += n
-        self.waiting[length] -= n
-        if offset + length < self.size:
-            self.new_gaps.append((self.size - offset - length, sequence, n))
-
-    def _round(self) -> None:
+        self.gaps: dict[int, list[tuple[int, int]]] = {}
+        self.rooms: list[int] = []  # the keys of ``gaps``, ascending
+        for length in sorted(counts, reverse=True):
+            rank = 0
+            while rank < counts[length]:
+                rank += self._round(length, rank, counts[length] - rank)
+
+    def _round(self, length: int, rank: int, waiting: int) -> int:
+        """Matches waiting pieces with the gaps of the successor size, or else with new sequences; returns how many."""
         self.rounds += 1
-        self.new_gaps: list[tuple[int, int, int]] = []
-        before = sum(self.waiting.values())
-        gaps = sorted(self.gaps, key=lambda g: (-g[0], g[1]))
-        stack: list[tuple[int, int, int]] = []
-        i = 0
-        for length in list(self.waiting):
-            while i < len(gaps) and gaps[i][0] >= length:
-                stack.append(gaps[i])
-                i += 1
-            while stack and self.waiting[length]:
-                room, sequence, n = stack.pop()
-                take = min(n, self.waiting[length])
-                self._put(length, take, sequence, self.size - room)
-                if take < n:
-                    stack.append((room, sequence + take, n - take))
-        left = sum(self.waiting.values())
-        few = before - left < FEW * before
-        wanted = -(-sum(k * n for k, n in self.waiting.items()) // (2 * self.size)) if few else 0
-        for length in list(self.waiting):
-            n = self.waiting[length] if 2 * length > self.size else min(self.waiting[length], wanted)
-            if n:
-                self._put(length, n, self.used, 0)
-                self.used += n
-                wanted = max(0, wanted - n)
-        self.gaps = stack + gaps[i:] + self.new_gaps
-        self.waiting = {k: n for k, n in self.waiting.items() if n}
+        k = bisect_left(self.rooms, length)
+        if k < len(self.rooms):
+            room = self.rooms[k]
+            sequence, n = self.gaps[room].pop()
+        else:
+            room, sequence, n = self.size, self.used, -(-waiting // (self.size // length))
+            self.used += n
+        take = min(n, waiting)
+        self.slots.setdefault(length, []).append((rank, take, sequence, self.size - room))
+        if take < n:
+            self._free(room, sequence + take, n - take)
+        elif room in self.gaps and not self.gaps[room]:
+            del self.gaps[room], self.rooms[k]
+        self._free(room - length, sequence, take)
+        return take
+
+    def _free(self, room: int, sequence: int, n: int) -> None:
+        if room:
+            if room not in self.gaps:
+                insort(self.rooms, room)
+            self.gaps.setdefault(room, []).append((sequence, n))
 
     def arrays(self) -> dict[int, np.ndarray]:
         """By size: rows (first rank, first sequence, offset) in order of rank."""
