@@ -27,18 +27,11 @@ def date_range(spec: CohortSpec, date_col: str = "date") -> Column:
 
 
 def filter_predicate(filt: CohortFilter | None, date_col: str = "date") -> Column:
-    """AND of the optional filters; an unset filter adds nothing."""
+    """AND of the optional filters; an unset filter, or one with all values ticked, adds nothing."""
     cond = F.lit(True)
-    if filt is None:
-        return cond
-    if filt.dow:
-        cond = cond & dow_sunday0(date_col).isin(*filt.dow)
-    if filt.tod:
-        cond = cond & F.col("hour").isin(*filt.tod)
-    if filt.boro:
-        cond = cond & F.col("boro").isin(*filt.boro)
-    if filt.sta:
-        cond = cond & F.col("station").isin(*filt.sta)
+    columns = {"dow": dow_sunday0(date_col), "tod": F.col("hour"), "boro": F.col("boro"), "sta": F.col("station")}
+    for name, values in (filt.active() if filt else {}).items():
+        cond = cond & columns[name].isin(*values)
     return cond
 
 

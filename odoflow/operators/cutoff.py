@@ -123,13 +123,18 @@ def cutoff_clean(
         # (keys, _chunk) by its window, so the statistics are replicated to the
         # (series, chunk) pairs that exist (one small row each) and joined on
         # those keys - only the small side moves, even for a hot series.
+        # The chunk of rows without a time is NULL: it joins null-safe.
         pairs = diffed.select(*keys, CHUNK).distinct()
-        stats = pairs.join(stats, on=on, how="inner")
-        on = [*on, CHUNK]
-    cut = diffed.join(stats, on=on, how="left")
+        names = [*keys, CHUNK]
+        stats = pairs.join(stats, on=on, how="inner").withColumnsRenamed({c: f"_stat_{c}" for c in names})
+        same = [F.col(c) == F.col(f"_stat_{c}") for c in keys] + [F.col(CHUNK).eqNullSafe(F.col(f"_stat_{CHUNK}"))]
+        cut = diffed.join(stats, on=same, how="left").drop(*[f"_stat_{c}" for c in names])
+    else:
+        cut = diffed.join(stats, on=on, how="left")
     floor = F.lit(float(rule.floor))
-    cut = cut.withColumn("entries_cutoff", F.coalesce("entries_cutoff", floor)).withColumn(
-        "exits_cutoff", F.coalesce("exits_cutoff", floor)
+    # The cutoff columns are INTEGER: the statistics are rounded (half to even) before they apply.
+    cut = cut.withColumn("entries_cutoff", F.rint(F.coalesce("entries_cutoff", floor))).withColumn(
+        "exits_cutoff", F.rint(F.coalesce("exits_cutoff", floor))
     )
     keep = ~F.coalesce(F.col("entries") > F.col("entries_cutoff"), F.lit(False)) & ~F.coalesce(
         F.col("exits") > F.col("exits_cutoff"), F.lit(False)

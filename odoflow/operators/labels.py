@@ -7,17 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A mapping given as Python values has a known size; up to this many entries
-# it is compiled into a literal map (stays inside whole-stage codegen).
-LITERAL_MAP_MAX = 5000
+# A mapping given as Python values is compiled into a literal map (stays inside
+# whole-stage codegen); one held in a DataFrame, of any size, goes through left_lookup.
 
 
 def relabel(value: Column, mapping: Mapping[str, str]) -> Column:
     """``mapping[value]`` when present, else ``value``. Applied once (no chaining)."""
     if not mapping:
         return value
-    if len(mapping) > LITERAL_MAP_MAX:
-        raise ValueError("mapping too large for a literal map; use relabel_join with a DataFrame")
     pairs = [x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), value), value)
 

@@ -87,20 +87,23 @@ def with_chunks(
 
 
 def order_key(order: Sequence[str], dtypes: dict[str, str]) -> Column:
-    """One exact DECIMAL(38,0) sort key for (timestamp, [int tie-breakers...]).
+    """One sort key for (timestamp, tie-breakers...), NULLS LAST.
 
-    epoch-microseconds * 2^32 + (t + 2^31) per INT tie-breaker (at most two),
-    so MAX of the key picks the last row in the full order. Unlike MAX_BY
+    Up to two INT tie-breakers give an exact DECIMAL(38,0): epoch-microseconds
+    * 2^33 + (t + 2^31) each, NULL counting as 2^32, larger than any value,
+    so MAX of the key picks the last row in the full order. Other tie-breakers
+    (BIGINT, more than two) give a struct of null flags and values. Unlike MAX_BY
     over a struct, an aggregate keyed by a decimal runs as a hash aggregate
     (no sort of the input).
     """
     ts, ties = order[0], list(order[1:])
     if len(ties) > 2 or any(dtypes[t] not in ("int", "smallint", "tinyint") for t in ties):
-        raise ValueError("order must be a timestamp plus at most two INT tie-breakers")
+        return F.struct(F.col(ts), *[x for t in ties for x in (F.col(t).isNull(), F.col(t))])
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     key = F.timestamp_diff("MICROSECOND", epoch, F.col(ts).cast("timestamp_ntz")).cast("decimal(38,0)")
     for t in ties:
-        key = key * F.lit(2**32).cast("decimal(38,0)") + (F.col(t).cast("long") + F.lit(2**31)).cast("decimal(38,0)")
+        place = F.coalesce(F.col(t).cast("long") + F.lit(2**31), F.lit(2**32))
+        key = key * F.lit(2**33).cast("decimal(38,0)") + place.cast("decimal(38,0)")
     return key.cast("decimal(38,0)")
 
 
@@ -134,8 +137,7 @@ def series_lag(
     hash-partitioned on (keys, _chunk), and a later join on those keys needs
     no shuffle of this side.
 
-    ``order[0]`` is the timestamp (chunks come from it), then at most two INT
-    tie-breakers; rows must be unique in ``order`` within a series (true after
+    ``order[0]`` is the timestamp (chunks come from it), then tie-breakers; rows must be unique in ``order`` within a series (true after
     the staging DISTINCT), so "last row of a chunk" is well defined. Equal to ``lag(c) over
     (partition by keys order by order)``.
     """

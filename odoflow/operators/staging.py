@@ -91,13 +91,20 @@ def stage_v1(
     dedup: str = "derived",
     division_suffix: bool = True,
     audit_label: str = "RECOVR AUD",
+    keep_null_desc: bool | None = None,
 ) -> DataFrame:
     """Script/notebook staging: drop audits, dedup, suffix non-core divisions, relabel.
 
     dedup='derived' de-duplicates the 7 derived columns (script); 'raw' all raw
     columns (notebook). The relabel is applied after the dedup, once.
+    keep_null_desc: rows without a DESC stay (notebook, which deletes the audits)
+    or go (script, which keeps the rows that differ from the label); None: as the
+    variant named by ``dedup`` does.
     """
-    base = raw.filter(F.col("DESC") != F.lit(audit_label))
+    if keep_null_desc is None:
+        keep_null_desc = dedup == "raw"
+    is_audit = F.col("DESC").eqNullSafe(F.lit(audit_label))
+    base = raw.filter(~is_audit if keep_null_desc else F.col("DESC") != F.lit(audit_label))
     if dedup == "raw":
         base = base.distinct()
     df = base.select(
@@ -124,7 +131,7 @@ def stage_pandas(raw: DataFrame, audit_label: str = "RECOVR AUD") -> DataFrame:
     station = STATION-sorted(LINENAME) plus -DIVISION unless BMT/IRT/IND
     (NULL-propagating '+' concatenation, as in pandas).
     """
-    df = raw.dropDuplicates().filter(F.col("DESC") != F.lit(audit_label))
+    df = raw.dropDuplicates().filter(~F.col("DESC").eqNullSafe(F.lit(audit_label)))  # a missing DESC differs, as in pandas
     stationline = F.concat(F.col("STATION"), F.lit("-"), sorted_letters("LINENAME"))
     # a NULL division fails isin() and gets the (NULL) suffix, as pandas does
     stationline = F.when(F.col("DIVISION").isin(*PANDAS_PLAIN_DIVISIONS), stationline).otherwise(

@@ -25,6 +25,15 @@ class CohortFilter:
     boro: tuple[int, ...] | None = None
     sta: tuple[str, ...] | None = None
 
+    def active(self) -> dict[str, tuple]:
+        """The filters that restrict: set, and not all of their values ticked (see ``OPTIONS``)."""
+        given = {"dow": self.dow, "tod": self.tod, "boro": self.boro, "sta": self.sta}
+        return {k: tuple(v) for k, v in given.items() if v and not len(set(v)) >= OPTIONS.get(k, len(set(v)) + 1)}
+
+
+#: How many values each filter offers; all of them ticked is no filter. Stations have no such number.
+OPTIONS: dict[str, int] = {"dow": 7, "tod": 6, "boro": 5}
+
 
 @dataclass(frozen=True)
 class StagingRules:

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from odoflow.params import CohortFilter
+
 
 def register_views(models: Mapping[str, DataFrame], prefix: str = "") -> list[str]:
     """IO10: every model as a temp view, so the original SQL can run on ``spark.sql``."""
@@ -29,21 +31,18 @@ def cohort_filter_sql(
     sta: Sequence[str] | None = None,
 ) -> DataFrame:
     """FI5 in SQL: optional predicates joined with AND; values are bound
-    parameters (never spliced into the text). An unset filter adds nothing."""
+    parameters (never spliced into the text). An unset filter, or one with all
+    values ticked, adds nothing."""
     conds, args = ["TRUE"], {}
+    active = CohortFilter(*(tuple(v) if v else None for v in (dow, tod, boro, sta))).active()
     if start is not None:
         conds.append("date >= :start")
         args["start"] = start
     if end is not None:
         conds.append("date < :end")
         args["end"] = end
-    for name, values, expr in (
-        ("dow", dow, "dayofweek(date) - 1"),
-        ("tod", tod, "hour"),
-        ("boro", boro, "boro"),
-        ("sta", sta, "station"),
-    ):
-        if values:
+    for name, expr in (("dow", "dayofweek(date) - 1"), ("tod", "hour"), ("boro", "boro"), ("sta", "station")):
+        if values := active.get(name):
             conds.append(f"array_contains(:{name}, {expr})")
             args[name] = F.array(*[F.lit(v) for v in values])
     query = f"""

@@ -44,7 +44,6 @@ def build_session(
     spark = builder.getOrCreate()
     for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled"):
         spark.conf.set(key, settings[key])
-    checkpoint_root(spark)
     return spark
 
 
@@ -52,13 +51,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there (HDFS, object store); we read it
-    from the session. Only when it is unset (local runs, tests) do we pick a
-    fresh folder of our own and register it.
+    from the session. Only when it is unset and the master is local do we pick a
+    fresh folder of our own and register it; on a cluster an unset folder is an
+    error, as a machine-local one would not be seen by the other executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="odoflow-ckpt-", dir=os.environ.get("ODOFLOW_LOCAL_DIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)

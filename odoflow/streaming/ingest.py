@@ -1,16 +1,14 @@
 """IO16: incremental ingest of weekly reading files with Structured Streaming.
 
 Each run takes only the files that landed since the previous run (the file
-source's checkpoint remembers what was read), de-duplicates readings within
-a watermark, and appends to a Parquet table. ``trigger(availableNow=True)``
+source's checkpoint remembers what was read) and appends all their rows to a
+Parquet table, whatever week they are of: a late or back-filled week is loaded in
+full. Nothing is de-duplicated here and no state is kept; staging's DISTINCT
+removes repeated readings. ``trigger(availableNow=True)``
 makes a scheduled batch job out of it: run it weekly, it stops when the
 backlog is processed. The checkpoint lives in the shared folder, so a lost
 executor or a restarted driver resumes where it stopped (exactly-once file
 sink).
-
-Caveat (kept from the design notes): rows older than the watermark are
-dropped, so a week that arrives more than ``watermark`` late is lost; load
-history and back-fills with the batch path (files.read_reading_files + stage).
 """
 
 from __future__ import annotations
@@ -18,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odoflow.operators.staging import reading_time
 from odoflow.schemas import RAW_COLUMNS, RAW_CSV_SCHEMA
 
 
@@ -38,26 +35,16 @@ def reading_stream(spark: SparkSession, landing: str, glob: str = "*.csv", max_f
     return df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, RAW_COLUMNS)])
 
 
-def dedup_within_watermark(stream: DataFrame, watermark: str = "7 days") -> DataFrame:
-    """AG1 on a stream: identical readings dropped while both are inside the watermark."""
-    # event time must be a TIMESTAMP (LTZ); with the session in UTC the cast is exact
-    with_ts = stream.withColumn("event_time", reading_time().cast("timestamp"))
-    deduped = with_ts.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(RAW_COLUMNS)
-    return deduped.drop("event_time")
-
-
 def run_incremental(
     spark: SparkSession,
     landing: str,
     table_path: str,
     checkpoint: str,
-    watermark: str = "7 days",
     glob: str = "*.csv",
 ) -> int:
     """Process everything that landed since the last run; return the batches run."""
-    stream = dedup_within_watermark(reading_stream(spark, landing, glob), watermark)
     query = (
-        stream.writeStream.format("parquet")
+        reading_stream(spark, landing, glob).writeStream.format("parquet")
         .option("path", table_path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

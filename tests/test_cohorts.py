@@ -83,3 +83,13 @@ def test_bound_parameter_sql_matches_dataframe_filter(spark):
     via_df = co.tag_cohorts(_hourly(spark), [spec], filt).drop("cohort")
     assert via_sql.count() == via_df.count() > 0
     assert via_sql.exceptAll(via_df).count() == 0
+
+
+def test_all_values_ticked_is_no_filter(spark):
+    from odoflow.operators.cohorts import filter_predicate
+    from odoflow.params import CohortFilter
+
+    df = spark.sql("select date'2024-01-02' as date, 4 as hour, boro, 's' as station from values (-1), (2) as t(boro)")
+    every = CohortFilter(dow=tuple(range(7)), tod=(4, 8, 12, 16, 20, 24), boro=(1, 2, 3, 4, 5))
+    assert df.filter(filter_predicate(every)).count() == 2
+    assert df.filter(filter_predicate(CohortFilter(boro=(1, 2, 3, 4)))).count() == 1

@@ -94,3 +94,12 @@ def test_null_times_sort_last_like_the_sql_engine(spark):
     got = series_lag(df, ["station", "turnstile"], ["ts", "e", "x"], ["ts", "e", "x"], chunk_days=7)
     assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
     assert got.filter("ts is null and prev_e = 20").count() == 1  # first untimed reading follows the last timed one
+
+
+def test_lag_takes_null_and_bigint_tie_breakers_at_chunk_borders(spark):
+    rows = [("s", "2024-01-01", 10), ("s", "2024-01-02", None), ("s", "2024-01-12", 50), ("s", "2024-01-12", None)]
+    for kind in ("int", "bigint"):
+        df = spark.createDataFrame(rows, "k string, d string, e int").selectExpr("k", "cast(d as timestamp_ntz) as t", f"cast(e as {kind}) as e")
+        got = {(str(r.t)[:10], r.e): (str(r.prev_t)[:10], r.prev_e) for r in series_lag(df, ["k"], ["t", "e"], ["t", "e"]).collect()}
+        assert got["2024-01-12", 50] == ("2024-01-02", None)
+        assert got["2024-01-12", None] == ("2024-01-12", 50)

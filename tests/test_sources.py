@@ -55,16 +55,16 @@ def test_roundtrip_and_reconciliation(spark):
 
 def test_incremental_ingest_takes_only_new_files(spark):
     rows = [("A", "R", "S", "ST", "L", "BMT", f"2024-01-{d:02d}", "04:00:00", "REGULAR", d, d) for d in range(1, 21)]
-    raw = raw_rows(spark, rows + rows[:3])  # three duplicates
+    raw = raw_rows(spark, rows + rows[:3])  # three repeated readings: staging removes them, not the ingest
     landing, sink, ckpt = (files.scratch_path(spark, n) for n in ("t-land", "t-sink", "t-ckpt"))
-    files.write_reading_files(raw.filter("DATE < '2024-01-10'"), landing, mode="append")
+    files.write_reading_files(raw.filter("DATE >= '2024-01-10'"), landing, mode="append")
     ingest.run_incremental(spark, landing, sink, ckpt)
-    assert spark.read.parquet(sink).count() == 9
+    assert spark.read.parquet(sink).count() == 11
     ingest.run_incremental(spark, landing, sink, ckpt)  # rerun: nothing new
-    assert spark.read.parquet(sink).count() == 9
-    files.write_reading_files(raw.filter("DATE >= '2024-01-10'"), landing, mode="append")
+    assert spark.read.parquet(sink).count() == 11
+    files.write_reading_files(raw.filter("DATE < '2024-01-10'"), landing, mode="append")  # late weeks
     ingest.run_incremental(spark, landing, sink, ckpt)
-    assert spark.read.parquet(sink).count() == 20
+    assert spark.read.parquet(sink).count() == 23
 
 
 def test_quality_reports(spark):
