@@ -41,17 +41,16 @@ def decode(words: np.ndarray) -> np.ndarray:
     return (words ^ _errors()[_remainder(words)]) >> CHECK
 
 
-@lru_cache(maxsize=4)
-def key_table(width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of every ``width``-bit segment (at most 22 bits: zeros fill the word): offsets and keys, ascending in each segment."""
-    words = np.arange(1 << width, dtype=np.int64)
-    found = [decode(words).astype(np.int16)]
+def keys(words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of segments of ``width`` bits (at most 22: zeros fill the word): first place, count, and all keys, ascending in each segment."""
+    found = np.empty((len(words), width + 1), np.int16)
+    found[:, 0] = decode(words)
     syndrome = _remainder(words)
     for bit in range(width):
-        flip = 1 << bit
-        error = _errors()[syndrome ^ _remainder(np.array([flip]))[0]]
-        found.append(((words ^ flip ^ error) >> CHECK).astype(np.int16))
-    keys = np.sort(np.stack(found, axis=1), axis=1)
-    fresh = np.ones(keys.shape, bool)
-    fresh[:, 1:] = keys[:, 1:] != keys[:, :-1]
-    return np.concatenate([[0], np.cumsum(fresh.sum(axis=1))]), keys[fresh]
+        flip = np.array([1 << bit])
+        found[:, bit + 1] = (words ^ flip ^ _errors()[syndrome ^ _remainder(flip)]) >> CHECK
+    found.sort(axis=1)
+    fresh = np.ones(found.shape, bool)
+    fresh[:, 1:] = found[:, 1:] != found[:, :-1]
+    count = fresh.sum(axis=1)
+    return np.cumsum(count) - count, count, found[fresh]

@@ -28,9 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from odoflow.llm import golay
 from odoflow.llm.common import Scratch
 from odoflow.llm.components import components
-from odoflow.llm.golay import key_table
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -83,9 +83,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = fps.view(np.uint64)
         own = []
         for low, width in SEGMENTS:
-            offsets, keys = key_table(width)
-            part = ((bits >> np.uint64(low)) & np.uint64((1 << width) - 1)).astype(np.int64)
-            own.append((offsets[part], offsets[part + 1] - offsets[part], keys))
+            own.append(golay.keys(((bits >> np.uint64(low)) & np.uint64((1 << width) - 1)).astype(np.int64), width))
         for k, (s, t) in enumerate(combinations(own, 2)):
             count = s[1] * t[1]
             row = np.repeat(np.arange(len(fps)), count)
