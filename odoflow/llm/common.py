@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,8 +60,8 @@ def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFra
     return docs.join(ids, docs[key].eqNullSafe(ids["dropped_id"]), "left_anti")
 
 
-def labelled_sample(docs: DataFrame, feature: Column, labels: DataFrame, label: str, modulus: int, held: int, per_class: int) -> tuple[list[tuple], float]:
-    """At most ``per_class`` training rows of each label 0 and 1, to fit a small model: [(feature, label)],
+def labelled_sample(docs: DataFrame, feature: Column, labels: DataFrame, label: str, modulus: int, held: int, per_class: int) -> tuple[pa.Table, float]:
+    """At most ``per_class`` training rows of each label 0 and 1, to fit a small model: (feature, y) by doc_id,
     and the share of label 1 among all training rows. ``feature``: a column over ``doc_id`` and ``text`` (not null).
 
     Only rows outside the held-out fold are candidates. They are taken in the
@@ -87,4 +88,4 @@ def labelled_sample(docs: DataFrame, feature: Column, labels: DataFrame, label:
         .groupBy("doc_id", "y").agg(F.max("text").alias("text"))
         .select("doc_id", "y", feature.alias("feature"))
     )
-    return [(r["feature"], r["y"]) for r in sorted(rows.collect(), key=lambda r: (r["doc_id"], r["y"]))], share
+    return rows.toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")]), share

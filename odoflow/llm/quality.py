@@ -90,7 +90,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> Compre
     """Fit on at most ``per_class`` training rows of each label of ``labels`` (doc_id, quality)."""
     rows, share = labelled_sample(docs, F.col("text").cast("binary"), labels, "quality", MODULUS, HELD, per_class)
     flat = (float(np.log(share / (1 - share))), 0.0)
-    split = {y: [bytes(t) for t, label in rows if label == y] for y in (0, 1)}
+    split: dict[int, list[bytes]] = {0: [], 1: []}
+    for text, y in zip(rows["feature"].to_pylist(), rows["y"].to_pylist()):
+        split[y].append(text)
     if min(map(len, split.values())) < 4:
         return CompressionModel(b"", b"", flat)
     model = CompressionModel(*(_dictionary(split[y][::2]) for y in (1, 0)), flat)
