@@ -17,7 +17,7 @@ import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-MEMORY = 1_000_000
+MEMORY = 600_000
 
 # The split rule of this byte-level vocabulary, for ASCII and Latin-1 letters.
 _SPLIT = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
