@@ -26,8 +26,9 @@ partial aggregate, and only coarse chunks holding more than
 ``max_rows_per_chunk`` rows are cut into k equal time slices (k = count /
 max_rows_per_chunk, rounded up). The list of such hot chunks has at most
 total_rows / max_rows_per_chunk entries - a proven bound - and is broadcast,
-so the big side never moves for it. No window task then holds more than about
-``max_rows_per_chunk`` rows (unless that many rows share one timestamp).
+so the big side never moves for it. The slices are of time, not of rows: a window
+task holds about ``max_rows_per_chunk`` rows if a hot chunk's rows are spread over
+its time, and more where they come in bursts. The chunk of NULL times is not cut.
 """
 
 from __future__ import annotations
