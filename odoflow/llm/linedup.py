@@ -6,23 +6,26 @@ line number) is removed.
 
 Equal sets are one class, held by its first line. Between classes:
 
-1. The words of a line are ordered by rarity: by how many lines hold words of the
-   same of 2**ORDER_BITS hash cells (one bounded table of counts over all lines),
-   then by hash. Any common order keeps the join exact.
+1. The words of a line are ordered by rarity: by how often the words of the same of
+   2**ORDER_BITS hash cells occur in all lines (one table of bounded size), then by
+   hash. Any common order keeps the join exact.
 2. Prefix filter: lines that match share one of their first n - ceil(s n) + 1 words,
-   so only these are posted; words that no other line has are left out.
+   so only these are posted; words that occur once are left out.
 3. Postings of a word stand in order of lines. A sweep pairs each with earlier ones
-   of its word, nearest first, under the length filter and the positional filter
-   (words left after the shared one must suffice).
-4. Pairs are verified: exact Jaccard of the whole sets.
+   of its word, nearest first, under three filters that lose no match: length, words
+   left after the shared one, and the bits in which the parity signatures differ (at
+   most the words that only one of the two has).
+4. Pairs are verified: exact Jaccard of the whole sets, on the words themselves. The
+   pair whose signatures are closest goes first, the others only if it fails.
 
 A line needs only one earlier match. So the sweeps go in rounds, over distances 1 to
-STEP, then to STEP**2, and so on, each for the lines without a match; a group of
-thousands of variants ends after a round or two, without all its pairs. The rounds
-end when no line without a match has earlier postings left: nothing is cut off.
+STEP, then to STEP**2, and so on, each over the words in which a line without a match
+has earlier postings left; a group of thousands of variants ends after a round or
+two, without all its pairs. The rounds end when no such line is left: nothing is cut
+off.
 
-Words and sets are compared by 64-bit hashes (two different ones are equal with a
-probability of about 5e-20).
+Words are ordered and sets are told apart by 64-bit hashes (two different ones are
+equal with a probability of about 5e-20).
 
 Defined cases: null text has no lines; lines without words always stay; repeated
 rows (equal id and text) are one document, each row returned with the same result; a
@@ -31,23 +34,28 @@ null doc_id sorts first; an empty table gives no rows; other columns are ignored
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from odoflow.llm.common import Scratch, ascii_lower
+from odoflow.llm.common import Scratch
 
 SIMILARITY = 0.8
 ORDER_BITS = 20
-STEP = 4
+STEP = 16
 #: Line sets that a task remembers to post each once.
 HOLD = 500_000
+#: Bytes of lines that a task splits into words at a time (one longer line goes alone).
+SLICE = 4 << 20
 
 _LINE = ("doc_id", "text_hash", "line")
-_POST = "word long, set_id long, doc_id long, text_hash long, line int, n int, place int"
+_LINES = "doc_id long, text_hash long, line int, set_id long, n int, even long, odd long, words array<long>, places array<int>, raw string"
+_CODE = np.int64(0xFFFFFFFF)
 
 
 def _needed(a: np.ndarray, b: np.ndarray, s: float) -> np.ndarray:
@@ -55,65 +63,118 @@ def _needed(a: np.ndarray, b: np.ndarray, s: float) -> np.ndarray:
     return np.ceil(s / (1 + s) * (a + b) - 1e-9)
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, line, words) of every line that has words; ``words``: hashes of its distinct words."""
-    hashed = F.transform(F.split(ascii_lower(F.col("raw")), r"[\x20\x09-\x0D]+"), lambda w: F.when(w != "", F.xxhash64(w)))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode_outer(F.split("text", "\n")).alias("line", "raw"))
-    # The filter is on the raw line, and explode_outer is used on ``words``, as a filter on ``words`` would compute it twice.
-    return rows.where(F.col("raw").rlike(r"[^\x20\x09-\x0D]")).select(*_LINE, F.array_compact(F.array_distinct(hashed)).alias("words"))
+def _cuts(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about SLICE bytes."""
+    part = np.cumsum(sizes) // SLICE
+    edges = np.flatnonzero(np.diff(part)) + 1
+    yield from zip([0, *edges], [*edges, len(sizes)])
 
 
-def _set_id(words: str = "words") -> Column:
-    return F.xxhash64(F.array_sort(words))
+def _words(lines: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of some lines, and for every word in them its line and its place among the distinct ones."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(lines))
+    row, coded = np.repeat(np.arange(len(lines)), split.value_lengths().to_numpy()), split.flatten().dictionary_encode()
+    code, blank = coded.indices.to_numpy().astype(np.int64), pc.index(coded.dictionary, "").as_py()
+    return coded.dictionary, row[code != blank], code[code != blank]
 
 
-def _post(counts, s: float):
-    """Prefix postings of the lines of a task, each set once a task as far as HOLD reaches."""
+def _hashes(words: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words.to_pylist()), np.uint64, len(words)).view(np.int64)
+
+
+def _lines(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+    """(row of the batch, line number, line) in slices."""
+    split = pc.split_pattern(batch.column("text"), "\n")
+    sizes = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    row, lines = np.repeat(np.arange(len(sizes)), sizes), split.flatten()
+    number = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    for i, j in _cuts(pc.binary_length(lines).to_numpy(zero_copy_only=False) + 1):
+        if j > i:
+            yield row[i:j], number[i:j], lines.slice(i, j - i)
+
+
+def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cell, n): occurrences of the words of each cell in a task."""
+    table = np.zeros(1 << ORDER_BITS, np.int64)
+    for batch in batches:
+        for _, _, lines in _lines(batch):
+            words, _, code = _words(lines)
+            np.add.at(table, _hashes(words) & (len(table) - 1), np.bincount(code, minlength=len(words)))
+    cells = np.flatnonzero(table)
+    yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(table[cells])], names=["cell", "n"])
+
+
+def _list(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values))
+
+
+def _describe(counts, s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lines with words: set, size, signature; once a task for each set (as far as HOLD reaches) the prefix and the line itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            sizes, words = batch.column("words").value_lengths().to_numpy().astype(np.int64), batch.column("words").flatten().to_numpy()
-            row, count = np.repeat(np.arange(len(sizes)), sizes), counts.value[words & ((1 << ORDER_BITS) - 1)]
-            order = np.lexsort((words, count, row))
-            words, count = words[order], count[order]
-            place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            ids = batch.column("set_id").to_pylist()
-            fresh = np.zeros(len(ids), bool)
-            for k, i in enumerate(ids):
-                if i not in seen:
-                    fresh[k] = True
-                    seen.add(i)
-            if len(seen) > HOLD:
-                seen.clear()
-            prefix = sizes - np.ceil(s * sizes - 1e-9).astype(np.int64) + 1
-            keep = np.flatnonzero((place < prefix[row]) & (count > 1) & fresh[row] & (sizes[row] > 3))
-            at = pa.array(row[keep])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words[keep]), *(batch.column(c).take(at) for c in ("set_id", *_LINE)), pa.array(sizes[row[keep]], pa.int32()), pa.array(place[keep], pa.int32())],
-                names=[c.split()[0] for c in _POST.split(", ")],
-            )
+            for source, number, lines in _lines(batch):
+                words, row, code = _words(lines)
+                if not len(row):
+                    continue
+                hashes = _hashes(words)
+                often = counts.value[hashes & ((1 << ORDER_BITS) - 1)]
+                by_rarity = np.lexsort((hashes, often))
+                rank = np.empty(len(words), np.int64)
+                rank[by_rarity] = np.arange(len(words))
+                hashes, often = hashes[by_rarity], often[by_rarity]
+                keys = np.sort(row << 32 | rank[code])
+                keys = keys[np.diff(keys, prepend=-1) != 0]
+                code, row = keys & _CODE, keys >> 32
+                word, start = hashes[code], np.flatnonzero(np.diff(row, prepend=-1))
+                size, held = np.diff(np.append(start, len(row))), row[start]
+                line = np.repeat(np.arange(len(start)), size)
+                place, data = np.arange(len(row)) - start[line], memoryview(word.tobytes())
+                ids = [xxhash.xxh64_intdigest(data[8 * i : 8 * (i + n)]) for i, n in zip(start.tolist(), size.tolist())]
+                fresh = np.zeros(len(ids), bool)
+                for k, i in enumerate(ids):
+                    if i not in seen:
+                        fresh[k] = True
+                        seen.add(i)
+                if len(seen) > HOLD:
+                    seen.clear()
+                bit = np.left_shift(np.int64(1), word & 63)
+                even, odd = (np.bitwise_xor.reduceat(np.where(word >> 6 & 1 == k, bit, 0), start) for k in (0, 1))
+                # A set of n words can match one of another size only if it can match one of n + 1.
+                fresh &= size * (1 - s) >= s - 1e-9
+                post = (place < (size - np.ceil(s * size - 1e-9).astype(np.int64) + 1)[line]) & (often[code] > 1) & fresh[line]
+                posted = np.bincount(line[post], minlength=len(start))
+                at, kept = pa.array(source[held]), pa.array(np.where(posted > 0, held, -1))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").take(at), batch.column("text_hash").take(at), pa.array(number[held], pa.int32()),
+                        pa.array(np.array(ids, np.uint64).view(np.int64)), pa.array(size, pa.int32()), pa.array(even), pa.array(odd),
+                        _list(word[post], posted), _list(place[post].astype(np.int32), posted), lines.take(pc.if_else(pc.less(kept, 0), None, kept)),
+                    ],
+                    names=[c.split()[0] for c in _LINES.split(", ")],
+                )
 
     return run
 
 
-def _sweep(low: int, high: int, s: float):
-    """(later, earlier, more) of rows sorted by word and line: pairs ``low`` to ``high`` - 1 places apart.
+def _sweep(low: int, high: int, s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(later, earlier, gap, word) of rows sorted by word and line: pairs ``low`` to ``high`` - 1 places apart.
 
-    A row (later, null, true) says that the line has postings still further ahead. Only
-    the last ``high`` rows of a batch are kept for the next.
+    A row (later, null, null, word) says that the line has postings of the word still
+    further ahead. Only the last ``high`` rows of a batch are kept for the next.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
-            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "set_id", "n", "place", "open")]
+            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "set_id", "n", "place", "even", "odd", "open")]
             old = len(held[0]) if held else 0
-            word, ids, n, place, is_open = [np.concatenate([h, x]) for h, x in zip(held, new)] if held else new
-            start = np.flatnonzero(np.diff(word, prepend=word[0] - 1 if len(word) else 0))
+            word, ids, n, place, even, odd, is_open = [np.concatenate([h, x]) for h, x in zip(held, new)] if held else new
+            start = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, np.int64)
             before = np.arange(len(word)) - np.repeat(start, np.diff(np.append(start, len(word))))
             later = np.arange(old, len(word))
-            later = later[is_open[later]]
+            later = later[is_open[later].astype(bool)]
             found: list[np.ndarray] = []
             for d in range(low, high):
                 later = later[before[later] >= d]
@@ -121,17 +182,42 @@ def _sweep(low: int, high: int, s: float):
                     break
                 a, b = later, later - d
                 need = _needed(n[a], n[b], s)
-                fits = (np.minimum(n[a], n[b]) >= s * np.maximum(n[a], n[b]) - 1e-9) & (1 + np.minimum(n[a] - place[a], n[b] - place[b]) - 1 >= need) & (ids[a] != ids[b])
-                found.append(np.stack([ids[a[fits]], ids[b[fits]]]))
+                fits = (np.minimum(n[a], n[b]) >= s * np.maximum(n[a], n[b]) - 1e-9) & (np.minimum(n[a] - place[a], n[b] - place[b]) >= need)
+                a, b, need = a[fits], b[fits], need[fits]
+                gap = sum(np.bitwise_count((x[a] ^ x[b]).view(np.uint64)).astype(np.int64) for x in (even, odd))
+                fits = gap <= n[a] + n[b] - 2 * need
+                found.append(np.stack([ids[a[fits]], ids[b[fits]], gap[fits]]))
             later = later[before[later] >= high]
-            pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-            more = np.unique(ids[later])
-            none = pa.nulls(len(more), pa.int64())
+            pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
+            more, paired = pa.nulls(len(later), pa.int64()), pa.nulls(pairs.shape[1], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([pairs[0], more])), pa.concat_arrays([pa.array(pairs[1]), none]), pa.array(np.arange(len(pairs[0]) + len(more)) >= len(pairs[0]))],
-                names=["later", "earlier", "more"],
+                [
+                    pa.array(np.concatenate([pairs[0], ids[later]])), pa.concat_arrays([pa.array(pairs[1]), more]),
+                    pa.concat_arrays([pa.array(pairs[2]), more]), pa.concat_arrays([paired, pa.array(word[later])]),
+                ],
+                names=["later", "earlier", "gap", "word"],
             )
-            held = [x[-high:] for x in (word, ids, n, place, is_open)]
+            held = [x[-high:] for x in (word, ids, n, place, even, odd, is_open)]
+
+    return run
+
+
+def _verify(s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(matched_id) of rows (later, a, b) whose lines match."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column("a"), batch.column("b")
+            sizes = pc.add(pc.binary_length(a), pc.binary_length(b)).to_numpy(zero_copy_only=False)
+            for i, j in _cuts(sizes):
+                m = j - i
+                _, row, code = _words(pa.concat_arrays([a.slice(i, m), b.slice(i, m)]))
+                key = np.unique(row << 32 | code)
+                size = np.bincount(key >> 32, minlength=2 * m)
+                edge = np.searchsorted(key, np.int64(m) << 32)
+                both = np.bincount(np.intersect1d(key[:edge], key[edge:] - (np.int64(m) << 32), assume_unique=True) >> 32, minlength=m)
+                match = both >= _needed(size[:m], size[m:], s)
+                yield pa.RecordBatch.from_arrays([batch.column("later").slice(i, m).filter(pa.array(match))], names=["matched_id"])
 
     return run
 
@@ -142,56 +228,63 @@ class LineDedup:
     def __init__(self, docs: DataFrame, similarity: float = SIMILARITY) -> None:
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         self.s, self.scratch = similarity, Scratch(docs.sparkSession, "lines")
-        self.lines = lines_of(self.docs).withColumn("set_id", _set_id())
+        self.lines = self._lines()
+        first = self.lines.groupBy(F.col("set_id").alias("first_id")).agg(F.min(F.struct(*_LINE)).alias("first"))
+        self.first = self.scratch.save(first, "first")
         self.matched = self._matched()
         self.removed = self._removed()
 
-    def _matched(self) -> DataFrame:
-        """(set_id): the classes that match an earlier one."""
-        spark, scratch = self.docs.sparkSession, self.scratch
-        cell = F.explode_outer("words").alias("word")
-        cells = self.lines.select(cell).groupBy(F.col("word").bitwiseAND((1 << ORDER_BITS) - 1).alias("cell")).agg(F.count("*").alias("n")).toArrow()
+    def _lines(self) -> DataFrame:
+        """The lines that have words, as _LINES says."""
+        cells = self.docs.select("text").mapInArrow(_count_cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
         table = np.zeros(1 << ORDER_BITS, np.int64)
         table[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-        counts = spark.sparkContext.broadcast(table)
+        counts = self.docs.sparkSession.sparkContext.broadcast(table)
+        rows = self.docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+        return self.scratch.save(rows.mapInArrow(_describe(counts, self.s), _LINES), "lines")
+
+    def _matches(self, pairs: DataFrame, name: str) -> DataFrame:
+        """(matched_id): the later sets of ``pairs`` that match the earlier one."""
+        wanted = pairs.select(F.explode(F.array("later", "earlier")).alias("wanted")).distinct()
+        held = self.lines.where("raw is not null").select("set_id", "raw")
+        held = held.join(wanted, held["set_id"] == wanted["wanted"], "left_semi").groupBy("set_id").agg(F.first("raw").alias("raw"))
+        met = pairs.join(held.select(F.col("set_id").alias("later"), F.col("raw").alias("a")), "later")
+        met = met.join(held.select(F.col("set_id").alias("earlier"), F.col("raw").alias("b")), "earlier")
+        return self.scratch.save(met.select("later", "a", "b").mapInArrow(_verify(self.s), "matched_id long").distinct(), name)
 
-        posted = self.lines.select("words", "set_id", *_LINE).mapInArrow(_post(counts, self.s), _POST)
-        first = posted.repartition("word").groupBy("word", "set_id").agg(F.min(F.struct(*_LINE)).alias("first"), F.max("n").alias("n"), F.max("place").alias("place"))
-        posts = scratch.save(first.select("word", "set_id", "first.*", "n", "place"), "posts")
-        sets, matched, open_ids, low = None, None, None, 1
+    def _matched(self) -> DataFrame:
+        """(matched_id): the classes that match an earlier one."""
+        scratch = self.scratch
+        posted = self.lines.where("raw is not null").drop(*_LINE, "raw").join(self.first.withColumnRenamed("first_id", "set_id"), "set_id")
+        posted = posted.select("set_id", "first.*", "n", "even", "odd", F.explode(F.arrays_zip("words", "places")).alias("at"))
+        posted = posted.select(F.col("at.words").alias("word"), "set_id", *_LINE, "n", F.col("at.places").alias("place"), "even", "odd")
+        posts = scratch.save(posted.repartition("word").dropDuplicates(["word", "set_id"]), "posts")
+        matched, ahead, low = None, None, 1
         for k in range(1, 64):
             high, rows = STEP**k + 1, posts.withColumn("open", F.lit(True))
-            if open_ids is not None:
-                rows = posts.join(open_ids.select(F.col("later").alias("set_id"), F.lit(True).alias("open")), "set_id", "left").withColumn("open", F.coalesce("open", F.lit(False)))
-            swept = rows.repartition("word").sortWithinPartitions("word", *_LINE).select("word", "set_id", "n", "place", "open")
-            swept = scratch.save(swept.mapInArrow(_sweep(low, high, self.s), "later long, earlier long, more boolean"), f"swept-{k}")
-            pairs = swept.where("not more").select("later", "earlier").distinct()
-            wanted = scratch.save(pairs.select(F.explode(F.array("later", "earlier")).alias("wanted")).distinct(), f"wanted-{k}")
-            sets = self.lines.join(wanted, self.lines["set_id"] == wanted["wanted"], "left_semi").groupBy("set_id").agg(F.first("words").alias("words"))
-            sets = scratch.save(sets, f"sets-{k}")
-            near = (
-                pairs.join(sets.select(F.col("set_id").alias("later"), F.col("words").alias("a")), "later")
-                .join(sets.select(F.col("set_id").alias("earlier"), F.col("words").alias("b")), "earlier")
-                .withColumn("both", F.size(F.array_intersect("a", "b")))
-                .where(F.col("both") >= F.ceil(F.lit(self.s / (1 + self.s)) * (F.size("a") + F.size("b")) - 1e-9))
-                .select(F.col("later").alias("set_id")).distinct()
-            )
-            near = scratch.save(near, f"near-{k}")
-            matched = near if matched is None else scratch.save(matched.unionByName(near).distinct(), f"matched-{k}")
-            more = swept.where("more").select("later").distinct()
-            open_ids = scratch.save(more.join(matched, more["later"] == matched["set_id"], "left_anti"), f"open-{k}")
-            if open_ids.isEmpty():
+            if ahead is not None:
+                rows = posts.join(ahead.select(F.col("word").alias("ahead")).distinct(), F.col("word") == F.col("ahead"), "left_semi")
+                rows = rows.join(ahead.select(F.col("later").alias("set_id"), F.lit(True).alias("open")).distinct(), "set_id", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+            swept = rows.repartition("word").sortWithinPartitions("word", *_LINE).select("word", "set_id", "n", "place", "even", "odd", "open")
+            swept = scratch.save(swept.mapInArrow(_sweep(low, high, self.s), "later long, earlier long, gap long, word long"), f"swept-{k}")
+            pairs = swept.where("earlier is not null")
+            best = scratch.save(pairs.groupBy("later").agg(F.min(F.struct("gap", "earlier"))["earlier"].alias("earlier")), f"best-{k}")
+            near = self._matches(best, f"near-best-{k}")
+            others = pairs.select("later", "earlier").distinct().join(best, ["later", "earlier"], "left_anti")
+            others = scratch.save(others.join(near, others["later"] == near["matched_id"], "left_anti"), f"others-{k}")
+            near = near.unionByName(self._matches(others, f"near-others-{k}"))
+            matched = near if matched is None else matched.unionByName(near)
+            more = swept.where("word is not null").select("later", "word")
+            ahead = scratch.save(more.join(matched, more["later"] == matched["matched_id"], "left_anti"), f"ahead-{k}")
+            if ahead.isEmpty():
                 return matched
             low = high
 
     def _removed(self) -> DataFrame:
         """(doc_id, text_hash, lines): numbers of the lines to remove, ascending."""
-        where = self.scratch.save(self.lines.select("set_id", *_LINE), "where")
-        first = self.scratch.save(where.groupBy("set_id").agg(F.min(F.struct(*_LINE)).alias("first")), "first")
-        matched = self.matched.select(F.col("set_id").alias("matched_id"))
-        first = self.scratch.save(
-            first.join(matched, first["set_id"] == matched["matched_id"], "left").select(F.col("set_id").alias("first_id"), "first", F.col("matched_id").isNotNull().alias("matched")), "classes"
-        )
+        where, matched = self.lines.select("set_id", *_LINE), self.matched.distinct()
+        first = self.first.join(matched, F.col("first_id") == F.col("matched_id"), "left").select("first_id", "first", F.col("matched_id").isNotNull().alias("matched"))
+        first = self.scratch.save(first, "classes")
         lost = where.join(first, where["set_id"] == first["first_id"]).where(F.col("matched") | ~F.struct(*_LINE).eqNullSafe(F.col("first")))
         lost = lost.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line")).alias("lines"))
         return self.scratch.save(lost.select(F.col("doc_id").alias("lost_id"), F.col("text_hash").alias("lost_hash"), "lines"), "removed")
