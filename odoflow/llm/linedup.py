@@ -1,8 +1,8 @@
 """Operator 8: near-duplicate lines by an exact set-similarity join.
 
 A line is the set of its words. Two lines match if the Jaccard similarity of their
-sets is at least SIMILARITY; a line that matches an earlier one (by doc_id, text,
-line number) is removed.
+sets is at least SIMILARITY; a line that matches an earlier one (by doc_id, line
+number, text) is removed.
 
 Equal sets are one class, held by its first line. Between classes:
 
@@ -53,7 +53,7 @@ HOLD = 500_000
 #: Bytes of lines that a task splits into words at a time (one longer line goes alone).
 SLICE = 4 << 20
 
-_LINE = ("doc_id", "text_hash", "line")
+_LINE = ("doc_id", "line", "text_hash")
 _LINES = "doc_id long, text_hash long, line int, set_id long, n int, even long, odd long, words array<long>, places array<int>, raw string"
 _CODE = np.int64(0xFFFFFFFF)
 
@@ -159,7 +159,7 @@ def _describe(counts, s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 
 
 def _sweep(low: int, high: int, s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(later, earlier, gap, word) of rows sorted by word and line: pairs ``low`` to ``high`` - 1 places apart.
+    """(later, earlier, gap, word) of rows sorted by word, line and set: pairs ``low`` to ``high`` - 1 places apart.
 
     A row (later, null, null, word) says that the line has postings of the word still
     further ahead. Only the last ``high`` rows of a batch are kept for the next.
@@ -182,7 +182,7 @@ def _sweep(low: int, high: int, s: float) -> Callable[[Iterator[pa.RecordBatch]]
                     break
                 a, b = later, later - d
                 need = _needed(n[a], n[b], s)
-                fits = (np.minimum(n[a], n[b]) >= s * np.maximum(n[a], n[b]) - 1e-9) & (np.minimum(n[a] - place[a], n[b] - place[b]) >= need)
+                fits = (np.minimum(n[a], n[b]) >= s * np.maximum(n[a], n[b]) - 1e-9) & (np.minimum(n[a] - place[a], n[b] - place[b]) >= need) & (ids[a] != ids[b])
                 a, b, need = a[fits], b[fits], need[fits]
                 gap = sum(np.bitwise_count((x[a] ^ x[b]).view(np.uint64)).astype(np.int64) for x in (even, odd))
                 fits = gap <= n[a] + n[b] - 2 * need
@@ -229,7 +229,8 @@ class LineDedup:
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         self.s, self.scratch = similarity, Scratch(docs.sparkSession, "lines")
         self.lines = self._lines()
-        first = self.lines.groupBy(F.col("set_id").alias("first_id")).agg(F.min(F.struct(*_LINE)).alias("first"))
+        at = F.struct(*_LINE)
+        first = self.lines.groupBy(F.col("set_id").alias("first_id")).agg(F.min(at).alias("first"), F.min(F.when(F.col("raw").isNotNull(), at)).alias("shown"))
         self.first = self.scratch.save(first, "first")
         self.matched = self._matched()
         self.removed = self._removed()
@@ -254,18 +255,19 @@ class LineDedup:
 
     def _matched(self) -> DataFrame:
         """(matched_id): the classes that match an earlier one."""
-        scratch = self.scratch
-        posted = self.lines.where("raw is not null").drop(*_LINE, "raw").join(self.first.withColumnRenamed("first_id", "set_id"), "set_id")
-        posted = posted.select("set_id", "first.*", "n", "even", "odd", F.explode(F.arrays_zip("words", "places")).alias("at"))
-        posted = posted.select(F.col("at.words").alias("word"), "set_id", *_LINE, "n", F.col("at.places").alias("place"), "even", "odd")
-        posts = scratch.save(posted.repartition("word").dropDuplicates(["word", "set_id"]), "posts")
+        scratch, first = self.scratch, self.first.where("shown is not null")
+        shown = self.lines.where("raw is not null").join(first, (F.col("set_id") == F.col("first_id")) & F.struct(*_LINE).eqNullSafe(F.col("shown")))
+        # One row a class, but for repeated rows of documents, which the sweep passes over.
+        classes = scratch.save(shown.select("set_id", "first.doc_id", "first.line", "n", "even", "odd", "words", "places"), "classes")
+        item = F.explode(F.arrays_zip("words", "places")).alias("at")
+        posts = classes.select("set_id", "doc_id", "line", "n", "even", "odd", item).select(F.col("at.words").alias("word"), "set_id", "doc_id", "line", "n", F.col("at.places").alias("place"), "even", "odd")
         matched, ahead, low = None, None, 1
         for k in range(1, 64):
             high, rows = STEP**k + 1, posts.withColumn("open", F.lit(True))
             if ahead is not None:
                 rows = posts.join(ahead.select(F.col("word").alias("ahead")).distinct(), F.col("word") == F.col("ahead"), "left_semi")
                 rows = rows.join(ahead.select(F.col("later").alias("set_id"), F.lit(True).alias("open")).distinct(), "set_id", "left").withColumn("open", F.coalesce("open", F.lit(False)))
-            swept = rows.repartition("word").sortWithinPartitions("word", *_LINE).select("word", "set_id", "n", "place", "even", "odd", "open")
+            swept = rows.repartition("word").sortWithinPartitions("word", "doc_id", "line", "set_id").select("word", "set_id", "n", "place", "even", "odd", "open")
             swept = scratch.save(swept.mapInArrow(_sweep(low, high, self.s), "later long, earlier long, gap long, word long"), f"swept-{k}")
             pairs = swept.where("earlier is not null")
             best = scratch.save(pairs.groupBy("later").agg(F.min(F.struct("gap", "earlier"))["earlier"].alias("earlier")), f"best-{k}")
@@ -284,7 +286,7 @@ class LineDedup:
         """(doc_id, text_hash, lines): numbers of the lines to remove, ascending."""
         where, matched = self.lines.select("set_id", *_LINE), self.matched.distinct()
         first = self.first.join(matched, F.col("first_id") == F.col("matched_id"), "left").select("first_id", "first", F.col("matched_id").isNotNull().alias("matched"))
-        first = self.scratch.save(first, "classes")
+        first = self.scratch.save(first, "first-matched")
         lost = where.join(first, where["set_id"] == first["first_id"]).where(F.col("matched") | ~F.struct(*_LINE).eqNullSafe(F.col("first")))
         lost = lost.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line")).alias("lines"))
         return self.scratch.save(lost.select(F.col("doc_id").alias("lost_id"), F.col("text_hash").alias("lost_hash"), "lines"), "removed")

@@ -308,6 +308,19 @@ def test_line_dedup_finds_matches_far_back(spark):
     assert got == {i: int(i == 40) for i in range(41)}
 
 
+def test_line_dedup_does_not_depend_on_the_order_of_rows(spark):
+    """Copies and variants of lines, dealt over partitions backwards; very long and many lines; signatures of all words."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, "\n".join([" ".join(words[: 50 + i % 7]), "same", " ".join(reversed(words)), f"only{i} " + " ".join(words[:3])])) for i in range(40)]
+    rows.append((40, " ".join(f"v{i % 5000}" for i in range(200_000))))
+    rows.append((41, " ".join(f"V{i}" for i in range(4800))))
+    frames = [spark.createDataFrame(r, "doc_id long, text string").repartition(n, "text") for r, n in ((rows, 1), (rows[::-1], 7))]
+    got = [sorted(tuple(r) for r in linedup.LineDedup(f).report().collect()) for f in frames]
+    assert got[0] == got[1]
+    # 50 and 60 words match (50 / 60 > 0.8); of the last lines each has a word of its own, and 3 of 5 are shared.
+    assert [r[2] for r in got[0]] == [1, *[3] * 39, 0, 1]
+
+
 # ---------------------------------------------------------------- op9
 
 
