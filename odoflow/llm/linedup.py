@@ -25,7 +25,8 @@ two, without all its pairs. The rounds end when no such line is left: nothing is
 off.
 
 Words are ordered and sets are told apart by 64-bit hashes (two different ones are
-equal with a probability of about 5e-20).
+equal with a probability of about 5e-20). Postings hold 32 bits of them: words that
+meet there add pairs to verify, no result.
 
 Defined cases: null text has no lines; lines without words always stay; repeated
 rows (equal id and text) are one document, each row returned with the same result; a
@@ -54,7 +55,7 @@ HOLD = 500_000
 SLICE = 4 << 20
 
 _LINE = ("doc_id", "line", "text_hash")
-_LINES = "doc_id long, text_hash long, line int, set_id long, n int, even long, odd long, words array<long>, places array<int>, raw string"
+_LINES = "doc_id long, text_hash long, line int, set_id long, n int, sign long, words array<int>, places array<int>, raw string"
 _CODE = np.int64(0xFFFFFFFF)
 
 
@@ -140,7 +141,7 @@ def _describe(counts, s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                 if len(seen) > HOLD:
                     seen.clear()
                 bit = np.left_shift(np.int64(1), word & 63)
-                even, odd = (np.bitwise_xor.reduceat(np.where(word >> 6 & 1 == k, bit, 0), start) for k in (0, 1))
+                sign = np.bitwise_xor.reduceat(bit, start)
                 # A set of n words can match one of another size only if it can match one of n + 1.
                 fresh &= size * (1 - s) >= s - 1e-9
                 post = (place < (size - np.ceil(s * size - 1e-9).astype(np.int64) + 1)[line]) & (often[code] > 1) & fresh[line]
@@ -149,8 +150,8 @@ def _describe(counts, s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(at), batch.column("text_hash").take(at), pa.array(number[held], pa.int32()),
-                        pa.array(np.array(ids, np.uint64).view(np.int64)), pa.array(size, pa.int32()), pa.array(even), pa.array(odd),
-                        _list(word[post], posted), _list(place[post].astype(np.int32), posted), lines.take(pc.if_else(pc.less(kept, 0), None, kept)),
+                        pa.array(np.array(ids, np.uint64).view(np.int64)), pa.array(size, pa.int32()), pa.array(sign),
+                        _list((word[post] >> 32).astype(np.int32), posted), _list(place[post].astype(np.int32), posted), lines.take(pc.if_else(pc.less(kept, 0), None, kept)),
                     ],
                     names=[c.split()[0] for c in _LINES.split(", ")],
                 )
@@ -159,7 +160,7 @@ def _describe(counts, s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 
 
 def _sweep(low: int, high: int, s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(later, earlier, gap, word) of rows sorted by word, line and set: pairs ``low`` to ``high`` - 1 places apart.
+    """(later, earlier, gap, word) of rows sorted by word and class: pairs ``low`` to ``high`` - 1 places apart.
 
     A row (later, null, null, word) says that the line has postings of the word still
     further ahead. Only the last ``high`` rows of a batch are kept for the next.
@@ -168,9 +169,10 @@ def _sweep(low: int, high: int, s: float) -> Callable[[Iterator[pa.RecordBatch]]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
-            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "set_id", "n", "place", "even", "odd", "open")]
+            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "number", "size", "sign", "open")]
             old = len(held[0]) if held else 0
-            word, ids, n, place, even, odd, is_open = [np.concatenate([h, x]) for h, x in zip(held, new)] if held else new
+            word, ids, size, sign, is_open = [np.concatenate([h, x]) for h, x in zip(held, new)] if held else new
+            n, place = size >> 32, size & _CODE
             start = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, np.int64)
             before = np.arange(len(word)) - np.repeat(start, np.diff(np.append(start, len(word))))
             later = np.arange(old, len(word))
@@ -184,12 +186,12 @@ def _sweep(low: int, high: int, s: float) -> Callable[[Iterator[pa.RecordBatch]]
                 need = _needed(n[a], n[b], s)
                 fits = (np.minimum(n[a], n[b]) >= s * np.maximum(n[a], n[b]) - 1e-9) & (np.minimum(n[a] - place[a], n[b] - place[b]) >= need) & (ids[a] != ids[b])
                 a, b, need = a[fits], b[fits], need[fits]
-                gap = sum(np.bitwise_count((x[a] ^ x[b]).view(np.uint64)).astype(np.int64) for x in (even, odd))
+                gap = np.bitwise_count((sign[a] ^ sign[b]).view(np.uint64)).astype(np.int64)
                 fits = gap <= n[a] + n[b] - 2 * need
                 found.append(np.stack([ids[a[fits]], ids[b[fits]], gap[fits]]))
             later = later[before[later] >= high]
             pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
-            more, paired = pa.nulls(len(later), pa.int64()), pa.nulls(pairs.shape[1], pa.int64())
+            more, paired = pa.nulls(len(later), pa.int64()), pa.nulls(pairs.shape[1], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([pairs[0], ids[later]])), pa.concat_arrays([pa.array(pairs[1]), more]),
@@ -197,7 +199,7 @@ def _sweep(low: int, high: int, s: float) -> Callable[[Iterator[pa.RecordBatch]]
                 ],
                 names=["later", "earlier", "gap", "word"],
             )
-            held = [x[-high:] for x in (word, ids, n, place, even, odd, is_open)]
+            held = [x[-high:] for x in (word, ids, size, sign, is_open)]
 
     return run
 
@@ -230,8 +232,10 @@ class LineDedup:
         self.s, self.scratch = similarity, Scratch(docs.sparkSession, "lines")
         self.lines = self._lines()
         at = F.struct(*_LINE)
-        first = self.lines.groupBy(F.col("set_id").alias("first_id")).agg(F.min(at).alias("first"), F.min(F.when(F.col("raw").isNotNull(), at)).alias("shown"))
-        self.first = self.scratch.save(first, "first")
+        first = self.lines.groupBy("set_id").agg(F.min(at).alias("first"), F.min(F.when(F.col("raw").isNotNull(), at)).alias("shown"))
+        # The classes, numbered in the order of their first lines.
+        first = self.scratch.save(first, "first").orderBy("first.doc_id", "first.line", "set_id").withColumn("number", F.monotonically_increasing_id())
+        self.first = self.scratch.save(first.withColumnRenamed("set_id", "first_id"), "classes")
         self.matched = self._matched()
         self.removed = self._removed()
 
@@ -245,12 +249,12 @@ class LineDedup:
         return self.scratch.save(rows.mapInArrow(_describe(counts, self.s), _LINES), "lines")
 
     def _matches(self, pairs: DataFrame, name: str) -> DataFrame:
-        """(matched_id): the later sets of ``pairs`` that match the earlier one."""
-        wanted = pairs.select(F.explode(F.array("later", "earlier")).alias("wanted")).distinct()
+        """(matched_id): the later classes of ``pairs`` that match the earlier one."""
+        wanted = pairs.select(F.explode(F.array("later", "earlier")).alias("number")).distinct().join(self.first.select("number", "first_id"), "number")
         held = self.lines.where("raw is not null").select("set_id", "raw")
-        held = held.join(wanted, held["set_id"] == wanted["wanted"], "left_semi").groupBy("set_id").agg(F.first("raw").alias("raw"))
-        met = pairs.join(held.select(F.col("set_id").alias("later"), F.col("raw").alias("a")), "later")
-        met = met.join(held.select(F.col("set_id").alias("earlier"), F.col("raw").alias("b")), "earlier")
+        held = held.join(wanted, held["set_id"] == wanted["first_id"]).groupBy("number").agg(F.first("raw").alias("raw"))
+        met = pairs.join(held.select(F.col("number").alias("later"), F.col("raw").alias("a")), "later")
+        met = met.join(held.select(F.col("number").alias("earlier"), F.col("raw").alias("b")), "earlier")
         return self.scratch.save(met.select("later", "a", "b").mapInArrow(_verify(self.s), "matched_id long").distinct(), name)
 
     def _matched(self) -> DataFrame:
@@ -258,17 +262,18 @@ class LineDedup:
         scratch, first = self.scratch, self.first.where("shown is not null")
         shown = self.lines.where("raw is not null").join(first, (F.col("set_id") == F.col("first_id")) & F.struct(*_LINE).eqNullSafe(F.col("shown")))
         # One row a class, but for repeated rows of documents, which the sweep passes over.
-        classes = scratch.save(shown.select("set_id", "first.doc_id", "first.line", "n", "even", "odd", "words", "places"), "classes")
-        item = F.explode(F.arrays_zip("words", "places")).alias("at")
-        posts = classes.select("set_id", "doc_id", "line", "n", "even", "odd", item).select(F.col("at.words").alias("word"), "set_id", "doc_id", "line", "n", F.col("at.places").alias("place"), "even", "odd")
+        classes = scratch.save(shown.select("number", "n", "sign", "words", "places"), "prefixes")
+        posts = classes.select("number", "n", "sign", F.explode(F.arrays_zip("words", "places")).alias("at"))
+        posts = posts.select(F.col("at.words").alias("word"), "number", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at.places")).alias("size"), "sign")
         matched, ahead, low = None, None, 1
         for k in range(1, 64):
-            high, rows = STEP**k + 1, posts.withColumn("open", F.lit(True))
+            high, rows, is_open = STEP**k + 1, posts, F.lit(True)
             if ahead is not None:
                 rows = posts.join(ahead.select(F.col("word").alias("ahead")).distinct(), F.col("word") == F.col("ahead"), "left_semi")
-                rows = rows.join(ahead.select(F.col("later").alias("set_id"), F.lit(True).alias("open")).distinct(), "set_id", "left").withColumn("open", F.coalesce("open", F.lit(False)))
-            swept = rows.repartition("word").sortWithinPartitions("word", "doc_id", "line", "set_id").select("word", "set_id", "n", "place", "even", "odd", "open")
-            swept = scratch.save(swept.mapInArrow(_sweep(low, high, self.s), "later long, earlier long, gap long, word long"), f"swept-{k}")
+                rows = rows.join(ahead.select(F.col("later").alias("number"), F.lit(True).alias("open")).distinct(), "number", "left")
+                is_open = F.coalesce("open", F.lit(False))
+            swept = rows.repartition("word").sortWithinPartitions("word", "number").select("word", "number", "size", "sign", is_open.alias("open"))
+            swept = scratch.save(swept.mapInArrow(_sweep(low, high, self.s), "later long, earlier long, gap long, word int"), f"swept-{k}")
             pairs = swept.where("earlier is not null")
             best = scratch.save(pairs.groupBy("later").agg(F.min(F.struct("gap", "earlier"))["earlier"].alias("earlier")), f"best-{k}")
             near = self._matches(best, f"near-best-{k}")
@@ -278,14 +283,17 @@ class LineDedup:
             matched = near if matched is None else matched.unionByName(near)
             more = swept.where("word is not null").select("later", "word")
             ahead = scratch.save(more.join(matched, more["later"] == matched["matched_id"], "left_anti"), f"ahead-{k}")
+            for done in ("swept", "best", "others"):
+                scratch.drop(f"{done}-{k}")
             if ahead.isEmpty():
+                scratch.drop("prefixes")
                 return matched
             low = high
 
     def _removed(self) -> DataFrame:
         """(doc_id, text_hash, lines): numbers of the lines to remove, ascending."""
         where, matched = self.lines.select("set_id", *_LINE), self.matched.distinct()
-        first = self.first.join(matched, F.col("first_id") == F.col("matched_id"), "left").select("first_id", "first", F.col("matched_id").isNotNull().alias("matched"))
+        first = self.first.join(matched, F.col("number") == F.col("matched_id"), "left").select("first_id", "first", F.col("matched_id").isNotNull().alias("matched"))
         first = self.scratch.save(first, "first-matched")
         lost = where.join(first, where["set_id"] == first["first_id"]).where(F.col("matched") | ~F.struct(*_LINE).eqNullSafe(F.col("first")))
         lost = lost.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line")).alias("lines"))
