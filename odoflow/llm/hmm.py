@@ -16,7 +16,9 @@ tasks), and grow with the corpus. Words seen at least as often as a limit that k
 HEAD words at most are broadcast; tokens beyond it find their counts by a join,
 summed up per document. Training is Baum-Welch over all training documents: tasks
 compute expected counts of their sequences (stretches of STRETCH tokens), Spark adds
-them up, the driver normalises (states x classes numbers, whatever the corpus).
+them up, the driver normalises (states x classes numbers, whatever the corpus). It
+starts from states that tend to stay (from states all alike it would not get away),
+and goes on until the likelihood of the training documents no longer rises.
 
 Defined cases: null text is empty text (its only token is the end); without training
 rows every count is 0 and the model is the base; a null doc_id falls in its own fold;
@@ -26,6 +28,7 @@ ignored. Scores of texts of any length are finite.
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -40,7 +43,11 @@ from odoflow.llm.common import Scratch, fold
 
 MODULUS, HELD = 7, 2
 STATES, OWN, HASHED = 8, 511, 512
-ROUNDS, STRETCH = 3, 256
+STRETCH = 256
+#: Added to the chance of staying in a state at the start, so that the states differ from the first round on.
+STAY = 150
+#: Training ends when CALM rounds in succession raise the log10 likelihood by less than RISE a token each.
+RISE, CALM = 1e-4, 2
 HEAD = 1 << 18
 #: Distinct words that a task holds before it passes its partial counts on.
 HOLD = 300_000
@@ -96,7 +103,7 @@ class Hmm:
         rng = np.random.default_rng(seed)
         emit = mass * rng.uniform(0.5, 1.5, (STATES, len(mass)))
         self.emit = emit / emit.sum(axis=1, keepdims=True)
-        move = rng.uniform(0.5, 1.5, (STATES, STATES))
+        move = rng.uniform(0.5, 1.5, (STATES, STATES)) + STAY * np.eye(STATES)
         self.move = move / move.sum(axis=1, keepdims=True)
         self.start = np.full(STATES, 1 / STATES)
 
@@ -119,7 +126,11 @@ class Hmm:
         return out
 
     def expected(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected starts, moves and emissions of the sequences (none empty), side by side: longest first,
+        """Expected starts, moves and emissions of the sequences (none empty)."""
+        return self.gathered(sequences)[:3]
+
+    def gathered(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """The expected counts and the log10 likelihood of the sequences (none empty), side by side: longest first,
         so that those which still go on at a step are the first rows."""
         sequences = sorted(sequences, key=len, reverse=True)
         lengths = np.array([len(x) for x in sequences])
@@ -133,11 +144,11 @@ class Hmm:
         for t in range(steps):
             by_step[first[t] : first[t + 1]] = flat[at[: live[t]] + t]
         seen = emit[by_step]
-        alpha, scale = np.empty_like(seen), np.empty(len(seen), np.float32)
+        alpha, scale, ones = np.empty_like(seen), np.empty(len(seen), np.float32), np.ones(STATES, np.float32)
         for t in range(steps):
             rows = slice(first[t], first[t + 1])
             now = (alpha[first[t - 1] : first[t - 1] + live[t]] @ move if t else self.start.astype(np.float32)) * seen[rows]
-            scale[rows] = now.sum(axis=1)
+            scale[rows] = now @ ones
             alpha[rows] = now / scale[rows][:, None]
         moves, beta = np.zeros((STATES, STATES)), np.ones((live[0], STATES), np.float32)
         for t in range(steps - 1, -1, -1):
@@ -149,7 +160,7 @@ class Hmm:
             if t:
                 beta[:n] = ahead @ move.T
         emissions = np.stack([np.bincount(by_step, alpha[:, s], self.emit.shape[1]) for s in range(STATES)])
-        return alpha[: live[0]].sum(axis=0), moves * self.move, emissions
+        return alpha[: live[0]].sum(axis=0), moves * self.move, emissions, float(np.log10(scale).sum(dtype=float))
 
     def update(self, starts: np.ndarray, moves: np.ndarray, emissions: np.ndarray, mass: np.ndarray) -> None:
         """Normalised expected counts; a little of the class masses keeps every class possible."""
@@ -178,22 +189,43 @@ def _sequences(column: pa.Array) -> Iterator[list[np.ndarray]]:
 
 
 def _summed(hmm: Hmm):
-    """(place, value) of the expected counts of all sequences of a task."""
+    """(place, value) of the expected counts of all sequences of a task, and last of their log10 likelihood."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, Classes.count))]
+        parts = [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, Classes.count)), 0.0]
         for batch in batches:
             for sequences in _sequences(batch.column(0)):
-                parts = [a + b for a, b in zip(parts, hmm.expected(_stretches(sequences)))]
-        flat = np.concatenate([p.ravel() for p in parts])
+                parts = [a + b for a, b in zip(parts, hmm.gathered(_stretches(sequences)))]
+        flat = np.concatenate([np.ravel(p) for p in parts])
         at = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(flat[at])], names=["place", "value"])
 
     return run
 
 
-def score_texts(docs: DataFrame, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
+def baum_welch(hmm: Hmm, classes: DataFrame, mass: np.ndarray, tokens: int, rounds: int | None = None) -> list[float]:
+    """Trains ``hmm`` on all sequences of ``classes``, of ``tokens`` tokens in all; the log10 likelihood a token before
+    each round. Ends when it no longer rises, or after ``rounds`` if given."""
+    sizes = (STATES, STATES * STATES, STATES * Classes.count, 1)
+    logs: list[float] = []
+    while rounds is None or len(logs) < rounds:
+        sums = np.zeros(sum(sizes))
+        for place, value in classes.mapInArrow(_summed(hmm), "place int, value double").groupBy("place").agg(F.sum("value")).collect():
+            sums[place] = value
+        a, b, c, log = np.split(sums, np.cumsum(sizes)[:-1])
+        hmm.update(a, b.reshape(STATES, STATES), c.reshape(STATES, -1), mass)
+        logs.append(log[0] / tokens)
+        if len(logs) > CALM and (np.diff(logs[-CALM - 1 :]) < RISE).all():
+            break
+    logging.getLogger(__name__).info("Baum-Welch: %d rounds, log10 likelihood a token %s", len(logs), logs)
+    return logs
+
+
+def score_texts(docs: DataFrame, rounds: int | None = None, head: int = HEAD) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
+
+    ``rounds`` bounds the training, for tests; by default it goes on until the likelihood no longer rises.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark, "hmm")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", fold("doc_id", MODULUS) == HELD)
@@ -262,16 +294,9 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, head: int = HEAD) -> Data
 
     coded = scratch.save(docs.mapInArrow(encode, schema), "coded")
 
-    # Baum-Welch: expected counts of all training sequences, summed by Spark.
     hmm = Hmm(mass)
-    sizes = (STATES, STATES * STATES, STATES * Classes.count)
-    for _ in range(rounds if total else 0):
-        sums = np.zeros(sum(sizes))
-        trained = coded.where("not held_out").select("classes").mapInArrow(_summed(hmm), "place int, value double")
-        for place, value in trained.groupBy("place").agg(F.sum("value")).collect():
-            sums[place] = value
-        a, b, c = np.split(sums, np.cumsum(sizes)[:-1])
-        hmm.update(a, b.reshape(STATES, STATES), c.reshape(STATES, -1), mass)
+    if total:
+        baum_welch(hmm, coded.where("not held_out").select("classes"), mass, total, rounds)
     model = spark.sparkContext.broadcast(hmm)
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

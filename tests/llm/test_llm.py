@@ -279,6 +279,11 @@ def test_base_score(docs, empty, head):
     assert hmm.score_texts(empty).count() == 0
 
 
+def test_hmm_training_beats_the_base_on_held_out_documents(spark):
+    sums = hmm.score_texts(table(spark, "documents")).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert (sums[0] - sums[1]) / sums[2] > 0.05
+
+
 # ---------------------------------------------------------------- op8
 
 
