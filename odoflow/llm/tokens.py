@@ -4,7 +4,8 @@ The library spends most of its time in splitting and bookkeeping, so each
 distinct piece of text between split points is encoded by the library's BPE
 model once and remembered (MEMORY pieces at most). Texts with characters beyond
 ASCII and the Latin-1 letters go through the library's whole encoder instead,
-as Python's character classes are certain to agree only there.
+as Python's character classes are certain to agree only there; so do texts that
+hold an added token (``<|endoftext|>``), which the library takes out before it splits.
 """
 
 from __future__ import annotations
@@ -54,13 +55,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = _Known(self.tokenizer.model)
         self.end = np.array([END_ID], "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
         """Ids of the text and the end id, as little-endian unsigned 32-bit integers."""
-        if _OTHER.search(text):
+        if _OTHER.search(text) or any(a in text for a in self.added):
             found = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(found, "<u4").tobytes() + self.end
         return b"".join(map(self.known.__getitem__, _SPLIT.findall(text))) + self.end

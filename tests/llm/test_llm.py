@@ -60,6 +60,16 @@ def test_remembered_pieces_equal_the_library(text):
     assert np.frombuffer(tokens.encoder().ids(text), "<u4").tolist() == library_ids([text])[0]
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y <|endoftext", "é <|endoftext|> 　"])
+def test_added_tokens_are_those_of_the_library(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER)).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(tokens.encoder().ids(text), "<u4").tolist() == [*plain, 0]
+    assert 50256 in plain
+
+
 def test_token_files_round_trip(spark, docs, empty):
     path = Scratch(spark, "test").path("files")
     rans.write_token_files(docs, path, block_tokens=500)
