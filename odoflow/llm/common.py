@@ -49,15 +49,29 @@ def whole_text(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def text_key(text: str = "text") -> Column:
+    """What tells texts apart; with the doc_id, it names a row up to copies of it."""
+    return F.sha2(whole_text(text), 256)
+
+
 def fold(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, mod ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus
 
 
-def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is not among the ids of ``dropped``; all columns stay."""
-    ids = dropped.select(F.col(key).alias("dropped_id"))
-    return docs.join(ids, docs[key].eqNullSafe(ids["dropped_id"]), "left_anti")
+def matching(docs: DataFrame, named: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text) that stand in ``named`` (doc_id, text_sha256), with ``how`` left_semi,
+    or do not, with left_anti; all columns stay."""
+    key = "odoflow_text_sha256"  # a name that the columns of docs do not have
+    keyed, named = docs.withColumn(key, text_key()), named.select(F.col("doc_id").alias("named_id"), F.col("text_sha256").alias("named_sha256"))
+    return keyed.join(named, keyed["doc_id"].eqNullSafe(named["named_id"]) & (keyed[key] == named["named_sha256"]), how).drop(key)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Of the rows of ``docs`` with equal doc_id and text, the first by all columns as JSON; partial sums before the shuffle."""
+    row = F.struct(*(docs[f"`{c}`"] for c in docs.columns))
+    kept = docs.groupBy(F.col("doc_id").alias("id"), text_key().alias("sha")).agg(F.min_by(row, F.to_json(row)).alias("kept"))
+    return kept.select("kept.*")
 
 
 def labelled_sample(docs: DataFrame, feature: Column, labels: DataFrame, label: str, modulus: int, held: int, per_class: int) -> tuple[pa.Table, float]:

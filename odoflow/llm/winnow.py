@@ -17,8 +17,9 @@ their files are below its threshold, and joins by shuffle beyond it.
 Defined cases: null or empty text has no words, is never contaminated and, as an
 item, occurs nowhere; repeated item ids are one item with all their windows; an
 item with a null id marks words but is not counted or named; rows with equal
-doc_id are one document: their hits are pooled (and each has its own word count);
-empty tables give no rows or no hits; other columns are ignored.
+doc_id and text are one document, which each of them reports; rows that share only
+the doc_id (or have none) are documents of their own; empty tables give no rows or
+no hits; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odoflow.llm.common import Scratch, ascii_lower
+from odoflow.llm.common import Scratch, ascii_lower, text_key
 
 SPAN = 13
 K = 6
@@ -93,7 +94,7 @@ class Winnowing:
 
     def __init__(self, docs: DataFrame, items: DataFrame, span: int = SPAN, k: int = K) -> None:
         self.scratch = Scratch(docs.sparkSession, "winnow")
-        self.docs = docs.select("doc_id", "text")
+        self.docs = docs.select("doc_id", "text", text_key().alias("text_sha256"))
         self.k = k
         word = self.scratch.save(items.select("item_id", words_of().alias("words")).where(F.size("words") > 0), "items")
         length = F.least(F.size("words"), F.lit(span))
@@ -109,50 +110,54 @@ class Winnowing:
             self.item_prints = self.scratch.save(kept.distinct(), "item-prints")
             self.item_windows = self.scratch.save(windows.distinct(), "item-windows")
             self.windows = self.scratch.save(self.item_windows.select("window", "length").distinct(), "windows")
-        self._words = self.docs.select("doc_id", words_of().alias("words"))
+        self._words = self.docs.select("doc_id", "text_sha256", words_of().alias("words"))
         self.hits = self._hits() if self.lengths else None
 
     def _hits(self) -> DataFrame:
-        """(doc_id, at, length, window): the windows of documents that equal an item's window."""
-        prints = with_prints(self._words, self.lengths, self.k)
-        hit = prints.select("doc_id", F.explode_outer("prints").alias("hash")).join(self.item_prints, "hash").select(F.col("doc_id").alias("hit_id")).distinct()
+        """(doc_id, text_sha256, at, length, window): the windows of documents that equal an item's window."""
+        # A shorter hash of the text will do for the many rows here: one candidate more finds no window.
+        marked = self.docs.withColumn("mark", F.xxhash64("text"))
+        prints = with_prints(marked.select("doc_id", "mark", words_of().alias("words")), self.lengths, self.k)
+        hit = prints.select("doc_id", "mark", F.explode_outer("prints").alias("hash")).join(self.item_prints, "hash").select(F.col("doc_id").alias("hit_id"), F.col("mark").alias("hit_mark")).distinct()
         hit = self.scratch.save(hit, "candidates")
-        near = self.docs.join(hit, self.docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_semi").select("doc_id", words_of().alias("words"))
+        near = marked.join(hit, marked["doc_id"].eqNullSafe(hit["hit_id"]) & (marked["mark"] == hit["hit_mark"]), "left_semi").select("doc_id", "text_sha256", words_of().alias("words"))
         near = self.scratch.save(near, "near")
         found = None
         for n in self.lengths:
-            at = near.select("doc_id", F.explode_outer(_windows(F.col("words"), n)).alias("w")).select("doc_id", "w.at", F.lit(n).alias("length"), "w.window")
+            at = near.select("doc_id", "text_sha256", F.explode_outer(_windows(F.col("words"), n)).alias("w")).select("doc_id", "text_sha256", "w.at", F.lit(n).alias("length"), "w.window")
             found = at if found is None else found.union(at)
-        return self.scratch.save(found.join(self.windows, ["window", "length"], "left_semi").select("doc_id", "at", "length", "window"), "hits")
+        return self.scratch.save(found.join(self.windows, ["window", "length"], "left_semi").select("doc_id", "text_sha256", "at", "length", "window"), "hits")
 
     def shared_spans(self) -> DataFrame:
-        """(doc_id, first, last): the longest stretches of document words inside matching windows; last is included."""
-        seen = self.hits.select("doc_id", "at", (F.col("at") + F.col("length") - 1).alias("end")).groupBy("doc_id", "at").agg(F.max("end").alias("end"))
-        edge = seen.selectExpr("*", "max(end) over (partition by doc_id order by at rows between unbounded preceding and 1 preceding) as reach")
-        numbered = edge.selectExpr("*", "sum(case when reach is null or at > reach + 1 then 1 else 0 end) over (partition by doc_id order by at) as part")
-        return numbered.groupBy("doc_id", "part").agg(F.min("at").alias("first"), F.max("end").alias("last")).drop("part")
+        """(doc_id, text_sha256, first, last): the longest stretches of document words inside matching windows; last is included."""
+        seen = self.hits.select("doc_id", "text_sha256", "at", (F.col("at") + F.col("length") - 1).alias("end")).groupBy("doc_id", "text_sha256", "at").agg(F.max("end").alias("end"))
+        edge = seen.selectExpr("*", "max(end) over (partition by doc_id, text_sha256 order by at rows between unbounded preceding and 1 preceding) as reach")
+        numbered = edge.selectExpr("*", "sum(case when reach is null or at > reach + 1 then 1 else 0 end) over (partition by doc_id, text_sha256 order by at) as part")
+        return numbered.groupBy("doc_id", "text_sha256", "part").agg(F.min("at").alias("first"), F.max("end").alias("last")).drop("part")
 
     def matched_items(self) -> DataFrame:
-        """(doc_id, item_id): the items with a window in the document."""
-        seen = self.hits.select("doc_id", "window", "length").distinct()
-        return seen.join(self.item_windows, ["window", "length"]).select("doc_id", "item_id").where("item_id is not null").distinct()
+        """(doc_id, text_sha256, item_id): the items with a window in the document."""
+        seen = self.hits.select("doc_id", "text_sha256", "window", "length").distinct()
+        return seen.join(self.item_windows, ["window", "length"]).select("doc_id", "text_sha256", "item_id").where("item_id is not null").distinct()
 
     def report(self) -> DataFrame:
-        """Per row of ``docs``: doc_id, n_words, n_hit, n_items, item_ids (sorted text, comma-joined), contaminated."""
-        counts = self._words.select("doc_id", F.size("words").alias("n_words"))
+        """Per row of ``docs``: doc_id, n_words, n_hit, n_items, item_ids (sorted text, comma-joined), contaminated, text_sha256."""
+        counts = self._words.select("doc_id", "text_sha256", F.size("words").alias("n_words"))
         if self.hits is None:
             found = counts.withColumns({"hit": F.lit(0).cast("long"), "items": F.lit(0).cast("long"), "ids": F.lit("")})
         else:
-            spans = self.shared_spans().groupBy("doc_id").agg(F.sum(F.expr("last - first + 1")).alias("hit"), F.lit(0).cast("long").alias("items"), F.lit("").alias("ids"))
-            named = self.matched_items().withColumn("item", F.col("item_id").cast("string")).groupBy("doc_id").agg(
+            spans = self.shared_spans().groupBy("doc_id", "text_sha256").agg(F.sum(F.expr("last - first + 1")).alias("hit"), F.lit(0).cast("long").alias("items"), F.lit("").alias("ids"))
+            named = self.matched_items().withColumn("item", F.col("item_id").cast("string")).groupBy("doc_id", "text_sha256").agg(
                 F.lit(0).cast("long").alias("hit"), F.count("*").alias("items"), F.array_join(F.array_sort(F.collect_set("item")), ",").alias("ids")
             )
-            both = spans.unionByName(named).groupBy(F.col("doc_id").alias("hit_id")).agg(F.max("hit").alias("hit"), F.max("items").alias("items"), F.max("ids").alias("ids"))
+            both = spans.unionByName(named).groupBy("doc_id", "text_sha256").agg(F.max("hit").alias("hit"), F.max("items").alias("items"), F.max("ids").alias("ids"))
             both = self.scratch.save(both, "found")
-            found = counts.join(both, counts["doc_id"].eqNullSafe(both["hit_id"]), "left")
+            both = both.withColumnsRenamed({"doc_id": "hit_id", "text_sha256": "hit_sha256"})
+            met = counts["doc_id"].eqNullSafe(both["hit_id"]) & (counts["text_sha256"] == both["hit_sha256"])
+            found = counts.join(both, met, "left")
         n_hit = F.least(F.coalesce("hit", F.lit(0).cast("long")), F.col("n_words").cast("long"))
         return found.select(
             "doc_id", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
             F.coalesce("items", F.lit(0).cast("long")).alias("n_items"), F.coalesce("ids", F.lit("")).alias("item_ids"),
-            ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"),
+            ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"), "text_sha256",
         )

@@ -395,6 +395,16 @@ def test_winnowing(spark, docs, empty):
     assert {r.n_hit for r in winnow.Winnowing(docs, items.limit(0)).report().collect()} == {0}
 
 
+def test_winnowing_tells_rows_with_one_id_apart(spark):
+    rows = [(None, BASE), (None, "clean and short"), (None, "clean " * 30), (7, BASE), (7, "clean words only"), (7, BASE)]
+    items = spark.createDataFrame([(1, BASE)], "item_id long, text string")
+    found = winnow.Winnowing(spark.createDataFrame(rows, "doc_id long, text string"), items).report().collect()
+    hit = len(BASE.split())
+    assert Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in found) == Counter(
+        (i, len(t.split()), hit * (t == BASE), int(t == BASE), t == BASE) for i, t in rows
+    )
+
+
 # ---------------------------------------------------------------- pipeline
 
 
