@@ -65,15 +65,17 @@ def _hashes(text: bytes, size: int) -> np.ndarray:
     return np.array([digest(line[a:b], SEED) for a, b in zip(starts, stops)], np.uint64)
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id and the fingerprint (long) of every whole text."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id and the fingerprint (long) of every whole text, and the columns ``also``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [_fingerprint(_hashes(x.as_py() or b"", size)) for x in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+            kept = [batch.column(c) for c in also]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64)), *kept], names=["doc_id", "fp", *also])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    schema = ", ".join(["doc_id long", "fp long", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in also)])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also).mapInArrow(run, schema)
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,16 +218,17 @@ def links(nodes: DataFrame, scratch: Scratch, most: int = MAX_BITS, block: int =
     return near.unionByName(far)
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, most: int = MAX_BITS) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, fingerprint (hex), component_id."""
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, most: int = MAX_BITS, also: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, fingerprint (hex), component_id; with ``also``, those columns
+    and the root: the fingerprint that names the component, whatever its ids."""
     scratch = Scratch(docs.sparkSession, "simhash")
-    prints = scratch.save(fingerprints(docs, size), "prints")
+    prints = scratch.save(fingerprints(docs, size, also), "prints")
     nodes = scratch.save(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = scratch.save(components(links(nodes, scratch, most), scratch), "roots")
     placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     placed = scratch.save(placed, "placed")
     ids = scratch.save(placed.groupBy("root").agg(F.min("first").alias("component_id")), "ids")
-    named = scratch.save(placed.join(ids, "root").select(F.col("fp").alias("node"), "component_id"), "named")
+    named = scratch.save(placed.join(ids, "root").select(F.col("fp").alias("node"), "component_id", "root"), "named")
     return prints.join(named, prints["fp"] == named["node"]).select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *also, *(["root"] if also else [])
     )

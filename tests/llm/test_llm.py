@@ -408,6 +408,36 @@ def test_winnowing_tells_rows_with_one_id_apart(spark):
 # ---------------------------------------------------------------- pipeline
 
 
+def test_pipeline_decides_on_rows_not_ids(spark, monkeypatch):
+    """Rows without an id and repeated ids: only flagged rows go, and one row of each group stays."""
+    import corpus_pipeline as p
+
+    other = " ".join(f"u{i}" for i in range(40))
+    rows = [
+        (None, BASE, "a"), (None, "all alone", "b"), (None, other, "d"), (None, other, "c"), (1, BASE, "e"), (2, BASE, "f"),
+        (3, "same id one", "g"), (3, BASE, "h"), (4, "equal rows", "j"), (4, "equal rows", "i"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def after(stage, frame=docs):
+        return sorted((r.source for r in stage(spark, frame, SF).collect()))
+
+    exact = after(p.drop_exact_copies)
+    assert exact == ["b", "c", "g", "h", "i", "j"]
+    assert after(p.drop_near_copies, docs.where(F.col("source").isin(exact))) == ["b", "c", "g", "h", "i"]
+    assert after(p.drop_near_copies) == ["b", "c", "e", "g", "i"]
+    assert after(p.drop_near_copies, docs.where("source in ('a', 'h', 'g')")) == ["g", "h"]
+
+    model, real = toxicity.ConvModel(), p.toxicity.score
+    model.constant = 0.0
+    toxic = F.col("text_sha256") == hashlib.sha256(BASE.encode()).hexdigest()
+    monkeypatch.setattr(p.toxicity, "train", lambda *_: model)
+    monkeypatch.setattr(p.toxicity, "score", lambda *a: real(*a).withColumn("predicted", toxic.cast("int")))
+    assert after(p.drop_toxic) == ["b", "c", "d", "g", "i", "j"]
+    monkeypatch.setattr(p, "table", lambda *_: spark.createDataFrame([(1, BASE)], "item_id long, text string"))
+    assert after(p.drop_contaminated) == ["b", "c", "d", "g", "i", "j"]
+
+
 def test_pipeline(spark, docs, empty):
     import corpus_pipeline as p
 
