@@ -1,7 +1,8 @@
 """Operator 4: quality by compression against two zstandard dictionaries.
 
 One dictionary is built from good labelled texts, one from bad ones, of a bounded
-sample of training rows (SAMPLE rows a label). A whole text is compressed with
+sample of training rows (SAMPLE rows a label): the texts themselves where all of them
+fit into a dictionary, else one trained on pieces of them all. A whole text is compressed with
 each; the difference of the two sizes over their sum says which dictionary knows
 the text better. Other rows of the sample, kept from the dictionaries, calibrate
 it: an increasing logistic curve of the difference, weighted to the share of
@@ -28,7 +29,7 @@ from odoflow.llm.common import fold, labelled_sample
 SAMPLE = 1500
 MODULUS, HELD = 5, 0
 THRESHOLD = 0.3
-DICTIONARY_BYTES = 1 << 16
+DICTIONARY_BYTES, SMALLEST_BYTES = 1 << 16, 1 << 12
 PIECE_BYTES = 2048
 LEVEL = 3
 
@@ -59,15 +60,18 @@ class CompressionModel:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def _dictionary(texts: list[bytes]) -> bytes:
-    """Trained on pieces of whole texts, so that a long text counts with all of it."""
+def _dictionaries(*samples: list[bytes]) -> list[bytes]:
+    """Of each sample: all of it if it fits into a dictionary, else one trained on pieces of whole texts, so that a
+    long text counts with all of it. The trained ones are no larger than the smallest sample, as far as SMALLEST_BYTES."""
     import zstandard
 
-    pieces = [t[i : i + PIECE_BYTES] for t in texts for i in range(0, len(t), PIECE_BYTES)]
-    raw = b"".join(pieces)
-    if len(raw) < 8 * DICTIONARY_BYTES:  # too little to train on: the texts themselves
-        return raw[-DICTIONARY_BYTES:]
-    return zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes()
+    size = max(SMALLEST_BYTES, min(DICTIONARY_BYTES, *(sum(map(len, texts)) for texts in samples)))
+    found = []
+    for texts in samples:
+        pieces = [t[i : i + PIECE_BYTES] for t in texts for i in range(0, len(t), PIECE_BYTES)]
+        raw = b"".join(pieces)
+        found.append(raw if len(raw) <= DICTIONARY_BYTES else zstandard.train_dictionary(size, pieces).as_bytes())
+    return found
 
 
 def _curve(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]:
@@ -95,7 +99,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> Compre
         split[y].append(text)
     if min(map(len, split.values())) < 4:
         return CompressionModel(b"", b"", flat)
-    model = CompressionModel(*(_dictionary(split[y][::2]) for y in (1, 0)), flat)
+    model = CompressionModel(*_dictionaries(split[1][::2], split[0][::2]), flat)
     rest = [(t, y) for y in (0, 1) for t in split[y][1::2]]
     model.curve = _curve(model.differences([t for t, _ in rest]), np.array([y for _, y in rest]), share)
     return model

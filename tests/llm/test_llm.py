@@ -261,6 +261,20 @@ def test_classifier_edges(spark, docs, empty, module, label):
     assert module.score(empty, module.train(empty, none)).count() == 0
 
 
+def test_quality_dictionaries_know_the_whole_sample():
+    rng = np.random.default_rng(4)
+
+    def texts(passage):
+        return [f"{passage} {rng.integers(1 << 40)} {passage.upper()} {rng.bytes(500).hex()}".encode() for _ in range(90)]
+
+    first, last = texts("the first passage of all good texts"), texts("another passage of the later texts")  # some 100 KB each
+    for few in (last[:20], last[:1], last):
+        both, short = quality._dictionaries(first + last, few)
+        assert b"first passage" in both and b"later texts" in both and len(both) <= quality.DICTIONARY_BYTES
+        assert len(short) <= quality.DICTIONARY_BYTES and (len(few) > 20 or short == b"".join(few))
+    assert quality._dictionaries(first[:3], last[:5]) == [b"".join(first[:3]), b"".join(last[:5])]
+
+
 # ---------------------------------------------------------------- op5
 
 
