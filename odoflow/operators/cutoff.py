@@ -123,12 +123,10 @@ def cutoff_clean(
         # (keys, _chunk) by its window, so the statistics are replicated to the
         # (series, chunk) pairs that exist (one small row each) and joined on
         # those keys - only the small side moves, even for a hot series.
-        # The chunk of rows without a time is NULL: it joins null-safe.
+        # Chunk ids are never NULL, so this is a plain equality that keeps the layout.
         pairs = diffed.select(*keys, CHUNK).distinct()
-        names = [*keys, CHUNK]
-        stats = pairs.join(stats, on=on, how="inner").withColumnsRenamed({c: f"_stat_{c}" for c in names})
-        same = [F.col(c) == F.col(f"_stat_{c}") for c in keys] + [F.col(CHUNK).eqNullSafe(F.col(f"_stat_{CHUNK}"))]
-        cut = diffed.join(stats, on=same, how="left").drop(*[f"_stat_{c}" for c in names])
+        aligned = pairs.join(stats, on=on, how="inner")
+        cut = diffed.join(aligned, on=[*on, CHUNK], how="left").select(*diffed.columns, "entries_cutoff", "exits_cutoff")
     else:
         cut = diffed.join(stats, on=on, how="left")
     floor = F.lit(float(rule.floor))

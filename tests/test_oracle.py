@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
-from tools.oracle_check import TABLES, normalize
+from tools.oracle_check import TABLES, exact, normalize
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,8 +23,8 @@ def con():
 
 @pytest.mark.parametrize("key", sorted(entry_mod.oracle_sql()))
 def test_query_matches_oracle(spark, con, key):
-    a = entry_mod.queries()[key](spark, SF).toPandas()
-    b = con.execute(entry_mod.oracle_sql()[key]).df()
+    a = exact(entry_mod.queries()[key](spark, SF).toArrow())
+    b = exact(con.execute(entry_mod.oracle_sql()[key]).fetch_arrow_table())
     assert sorted(a.columns) == sorted(b.columns)
     assert len(a) == len(b)
     assert normalize(a) == normalize(b)

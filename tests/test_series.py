@@ -103,3 +103,48 @@ def test_lag_takes_null_and_bigint_tie_breakers_at_chunk_borders(spark):
         got = {(str(r.t)[:10], r.e): (str(r.prev_t)[:10], r.prev_e) for r in series_lag(df, ["k"], ["t", "e"], ["t", "e"]).collect()}
         assert got["2024-01-12", 50] == ("2024-01-02", None)
         assert got["2024-01-12", None] == ("2024-01-12", 50)
+
+
+def _chunk_sizes(df, order, limit):
+    from odoflow.operators.series import CHUNK, with_chunks
+
+    return [r["count"] for r in with_chunks(df, ["k"], order, 7, limit).groupBy("k", CHUNK).count().collect()]
+
+
+def test_bursts_and_null_times_are_cut_by_rank(spark):
+    """20,000 readings of one series within ten minutes, and 20,000 without a time: pieces of at most twice the limit,
+    and the lag still equals the plain window."""
+    start = datetime(2024, 1, 3)
+    burst = spark.range(20_000).select(
+        F.lit("a").alias("k"), F.expr("timestamp_ntz'2024-01-03 00:00:00' + make_dt_interval(0, 0, 0, (id * id) % 600)").alias("t"),
+        (F.col("id") * 7).cast("int").alias("e"), (F.col("id") % 13).cast("int").alias("x"),
+    )
+    timeless = spark.range(20_000).select(
+        F.lit("a").alias("k"), F.lit(None).cast("timestamp_ntz").alias("t"), (F.col("id") * 3).cast("int").alias("e"), F.lit(None).cast("int").alias("x")
+    )
+    few = spark.createDataFrame([("b", start, 1, 1), ("b", None, None, None), (None, start, 4, 4)], "k string, t timestamp_ntz, e int, x int")
+    df = burst.unionByName(timeless).unionByName(few)
+    limit = 1_000
+    sizes = _chunk_sizes(df, ["t", "e", "x"], limit)
+    assert sum(sizes) == df.count() and max(sizes) <= 2 * limit and len(sizes) <= 60
+    w = Window.partitionBy("k").orderBy(*[F.col(c).asc_nulls_last() for c in ("t", "e", "x")])
+    expect = df.select("*", *[F.lag(c).over(w).alias("prev_" + c) for c in ("t", "e", "x")])
+    got = series_lag(df, ["k"], ["t", "e", "x"], ["t", "e", "x"], max_rows_per_chunk=limit)
+    assert got.exceptAll(expect).isEmpty() and expect.exceptAll(got).isEmpty()
+
+
+def test_one_instant_is_cut_on_the_tie_breaker(spark):
+    """All rows of a series at one time: the leading bits of the first tie-breaker cut the chunk."""
+    df = spark.range(8_000).select(F.lit("a").alias("k"), F.lit(datetime(2024, 1, 3)).cast("timestamp_ntz").alias("t"), (F.col("id") * 100_000).cast("int").alias("e"))
+    sizes = _chunk_sizes(df, ["t", "e"], 500)
+    assert sum(sizes) == 8_000 and max(sizes) <= 1_000
+
+
+def test_chunk_ids_follow_the_row_order_and_are_never_null(spark):
+    from odoflow.operators.series import CHUNK, with_chunks
+
+    df = _frame(spark).unionByName(spark.createDataFrame([("hot", "T1", None, i, 1, 1) for i in range(300)], _frame(spark).schema))
+    w = Window.partitionBy("station").orderBy(*[F.col(c).asc_nulls_last() for c in ("ts", "e", "x")])
+    cut = with_chunks(df, ["station"], ["ts", "e", "x"], 7, 50)
+    assert cut.where(F.col(CHUNK).isNull()).isEmpty()
+    assert cut.withColumn("p", F.lag(CHUNK).over(w)).where(F.col("p") > F.col(CHUNK)).isEmpty()
