@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from odoflow.llm import exact, hmm, linedup, packing, quality, rans, simhash, toolcalls, toxicity, winnow
+from odoflow.llm import align, exact, hmm, linedup, packing, quality, rans, simhash, syncmers, toolcalls, toxicity, variants, winnow
 from odoflow.llm.common import Scratch, table
 
 
@@ -84,7 +84,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("item_ids", 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_exact_dedup, op3_simhash, op4_quality, op5_hmm, op6_packing, op7_toxicity, op8_line_dedup, op9_tool_calls, op10_decontamination)}
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of both vocabularies in all documents, with the pairs' corpus-wide counts."""
+    return align.Alignment(table(spark, sf_dir, "documents")).documents()
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Syncmer fingerprints of all documents and of their edited texts, and their likeness."""
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_exact_dedup, op3_simhash, op4_quality, op5_hmm, op6_packing, op7_toxicity, op8_line_dedup, op9_tool_calls, op10_decontamination, op11_alignment, op12_fingerprints, op13_variants)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE = {
