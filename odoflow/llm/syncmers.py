@@ -163,7 +163,8 @@ def next_in_order(docs: DataFrame, carried: dict[str, Column], scratch: Scratch,
     ring = Window.orderBy(CHUNK)
     ahead = first.select(F.col(CHUNK).alias("into"), F.lead(CHUNK).over(ring).alias("ahead"), F.min(CHUNK).over(ring).alias("least"))
     heads = first.join(ahead.select("into", F.coalesce("ahead", "least").alias(CHUNK)), CHUNK)
-    named = heads.select("into", F.col("doc_id").alias("head_id"), F.col("key").alias("head_key"))
+    # Written, so that Spark knows its size and broadcasts it only if it is small.
+    named = scratch.save(heads.select("into", F.col("doc_id").alias("head_id"), F.col("key").alias("head_key")), "named")
     same = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("key") == F.col("head_key"))
     edge = docs.join(named, same).dropDuplicates(["into"])
     edge = edge.select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("key"), *values, F.col("into").alias(CHUNK), F.lit(1).alias("_edge"))
@@ -184,9 +185,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     # An anchor depends on its K code points alone: those of the part that stays are taken from the whole text's anchors
     # (``head``), and only the last K - 1 code points of that part and the new end are looked through again.
     text, chars, quarter = F.col("text"), F.length("text"), F.floor(F.length("text") / 4).cast("int")
-    both = lambda a: F.struct(
-        sketch(text, a).alias("own"), smallest(F.filter(a, lambda x: _place_of(x) <= chars - quarter - K)).alias("head")
-    )
+    last = chars - quarter - K  # named once: inside a lambda it would be computed for every anchor
+    head = lambda a: _let(last, lambda n: smallest(F.filter(a, lambda x: _place_of(x) <= n)))
+    both = lambda a: F.struct(sketch(text, a).alias("own"), head(a).alias("head"))
     met = next_in_order(rows, {"text": text, "sketches": _let(anchors(text), both)}, scratch)
     kept, end = F.substring(text, F.lit(1), chars - quarter), F.substring(F.col("next.text"), F.lit(1), quarter)
     seam = F.greatest(chars - quarter - (K - 1), F.lit(0))
