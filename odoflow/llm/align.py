@@ -47,7 +47,7 @@ SLOTS = 1 << 16
 POSTINGS = 2_000_000
 _LIST = 4096  # slots of the longest list; more are written as bits
 _TOKENS = 400_000  # tokens that are aligned together
-_MEMORY = 300_000
+_LONG = 1 << 16  # code points that vocabulary B encodes at once, and those up to the next space
 _MARK = "▁"
 
 
@@ -73,9 +73,9 @@ class ByteEncoder(Encoder):
 
 class PieceEncoder:
     """Vocabulary B. No piece holds the space mark behind another character, so no merge crosses the start of a run of
-    spaces: texts are cut there, and each part is encoded by the library once and remembered."""
+    spaces: long texts are cut there, so that the library's working memory stays bounded."""
 
-    _PART = re.compile(r" *[^ ]+| +")
+    _START = re.compile(r"(?<! ) ")
 
     def __init__(self, path: str) -> None:
         from sentencepiece import SentencePieceProcessor
@@ -84,23 +84,19 @@ class PieceEncoder:
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.apart = not any(_MARK in p.lstrip(_MARK) for p in pieces)
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(pieces)]
-        self.space = np.array([self.model.piece_to_id(_MARK)], "<u4").tobytes()
-        self.known: dict[str, bytes] = {}
-
-    def _part(self, part: str) -> bytes:
-        ids = self.known.get(part)
-        if ids is None:
-            ids = np.array(self.model.encode(part[1:], num_threads=1), "<u4").tobytes() if part != " " else self.space
-            if len(self.known) >= _MEMORY:
-                self.known.clear()
-            if len(part) < 100:
-                self.known[part] = ids
-        return ids
+        self.space = [self.model.piece_to_id(_MARK)]
 
     def encode(self, text: str) -> np.ndarray:
-        if not self.apart:
+        if len(text) <= _LONG or not self.apart:
             return np.array(self.model.encode(text, num_threads=1), "<u4")
-        return np.frombuffer(b"".join(map(self._part, self._PART.findall(" " + text))), "<u4")
+        whole, at, out = " " + text, 0, []
+        while at < len(whole):
+            start = self._START.search(whole, at + _LONG)
+            end = start.start() if start else len(whole)
+            # The library adds the first space itself; of a space alone it would make nothing.
+            out.append(np.array(self.model.encode(whole[at + 1 : end], num_threads=1) if end - at > 1 else self.space, "<u4"))
+            at = end
+        return np.concatenate(out)
 
 
 class Aligner:
@@ -128,17 +124,25 @@ class Aligner:
         """Of several texts' tokens: groups and links of each, its written groups, and (A id, B id, text) of every link."""
         a, b = (np.concatenate([t[k] for t in texts]).astype(np.int64) for k in (0, 1))
         a_end, b_end, text_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), np.cumsum([t[2] for t in texts])
-        cut, ends = np.intersect1d(a_end, b_end, assume_unique=True), np.union1d(a_end, b_end)
-        # A text without tokens ends where the one before it ends: side "left" leaves it nothing.
-        of = np.searchsorted(text_end, ends)
-        groups = np.bincount(np.searchsorted(text_end, cut), minlength=len(texts))
-        links = np.bincount(of, minlength=len(texts))
-        pairs = (a[np.searchsorted(a_end, ends)] << 16) | b[np.searchsorted(b_end, ends)]
-        a_group, b_group = np.searchsorted(cut, a_end), np.searchsorted(cut, b_end)
+        ends = np.sort(np.concatenate((a_end, b_end)), kind="stable")  # two ascending runs: merged
+        ends = ends[np.r_[True, ends[1:] != ends[:-1]]] if len(ends) else ends
+        # Each end closes a piece that lies in one A and one B token: the pieces are the links.
+        a_at, b_at = np.searchsorted(ends, a_end), np.searchsorted(ends, b_end)
+        is_a, is_b = np.zeros(len(ends), np.int64), np.zeros(len(ends), np.int64)
+        is_a[a_at], is_b[b_at] = 1, 1
+        a_upto, b_upto, is_cut = np.cumsum(is_a), np.cumsum(is_b), is_a & is_b
+        cut_upto = np.cumsum(is_cut)
+        pairs = (a[a_upto - is_a] << 16) | b[b_upto - is_b]
+        # A text without tokens ends where the one before it ends: nothing lies between.
+        done = np.searchsorted(ends, text_end, "right")
+        links, of = np.diff(done, prepend=0), np.repeat(np.arange(len(texts)), np.diff(done, prepend=0))
+        groups = np.diff(np.r_[0, cut_upto][done], prepend=0)
+        # In the digest every group's A ids stand before its B ids.
+        closes = np.flatnonzero(is_cut)
+        a_group, b_group = (cut_upto - is_cut)[a_at], (cut_upto - is_cut)[b_at]
         line = np.empty(len(a) + len(b), np.int64)
-        line[np.arange(len(a)) + np.searchsorted(b_group, a_group)] = a + len(self.a_size) * (cut[a_group] == a_end)
-        b_line = b + 2 * len(self.a_size) + len(self.b_size) * (cut[b_group] == b_end)
-        line[np.arange(len(b)) + np.searchsorted(a_group, b_group, "right")] = b_line
+        line[np.arange(len(a)) + np.r_[0, b_upto[closes]][a_group]] = a + len(self.a_size) * is_cut[a_at]
+        line[np.arange(len(b)) + a_upto[closes][b_group]] = b + 2 * len(self.a_size) + len(self.b_size) * is_cut[b_at]
         at, written = 0, []
         for x, y, _ in texts:
             size = len(x) + len(y)
@@ -304,7 +308,8 @@ class Alignment:
         most = self.pairs.groupBy("b_id").agg(F.max("links").alias("most"))
         # One row for each id of vocabulary B at most: a bound that does not grow with the corpus.
         told = self.pairs.join(F.broadcast(most), "b_id").select("pair", F.col("links").alias("count"), (F.col("links") == F.col("most")).alias("top"))
-        scored = self._bitmaps.select(F.col("block").alias("home"), "pair", "planes").join(told, "pair").select("home", "planes", "count", "top")
+        # The same join at every size: many pairs are too many to broadcast, few cost little to shuffle.
+        scored = self._bitmaps.select(F.col("block").alias("home"), "pair", "planes").join(told.hint("merge"), "pair").select("home", "planes", "count", "top")
         rows = self.index.where("slot is not null").select("block", "slot", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
         shape = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
         return rows.groupBy("block").cogroup(scored.groupBy("home")).applyInArrow(_returned, shape)

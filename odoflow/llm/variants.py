@@ -7,8 +7,9 @@ disjoint chunks of q code points, its first and its last; as the *gram side*, a
 of m code points gives all its positional grams of the sizes q that words of m - 1,
 m and m + 1 code points use. One edit touches at most one of two disjoint chunks and
 moves what follows it by one place, so some chunk of either word stands in the other
-within shift one. Both sides meet by (length of the chunk's word, place, gram);
-``levenshtein`` with bound 1 verifies inside the join, so that only near pairs leave it.
+within shift one: the first chunk in its place, or the last one moved by the difference
+of the lengths. Both sides meet by (both lengths, place, gram); ``levenshtein`` with
+bound 1 verifies inside the join, so that only near pairs leave it.
 
 A pair is looked for from its lesser word only. A chunk that more than BLOCK words
 share is dealt in blocks over several tasks, each of which meets all its grams:
@@ -86,30 +87,32 @@ def chunk_size(length: int) -> int:
     return min(length // 2, Q)
 
 
-def chunks(word: str) -> Iterator[tuple[int, int, str]]:
-    """(length of the word, place, chunk) of its two disjoint chunks."""
-    q = chunk_size(len(word))
-    yield len(word), 0, word[:q]
-    yield len(word), len(word) - q, word[len(word) - q :]
+def chunks(word: str) -> Iterator[tuple[int, int, int, str]]:
+    """(length of the word, of the other word, place in the other word, chunk) of its two disjoint chunks."""
+    size, q = len(word), chunk_size(len(word))
+    for other in range(max(size - 1, SHORTEST), size + 2):
+        yield size, other, 0, word[:q]
+        yield size, other, other - q, word[size - q :]
 
 
-def grams(word: str) -> Iterator[tuple[int, int, str]]:
-    """(length of the other word, place, gram): all positional grams, for each length that an edit can come from."""
-    for other in range(max(len(word) - 1, SHORTEST), len(word) + 2):
+def grams(word: str) -> Iterator[tuple[int, int, int, str]]:
+    """(length of the other word, of the word, place, gram): all positional grams, for each length that an edit can come from."""
+    size = len(word)
+    for other in range(max(size - 1, SHORTEST), size + 2):
         q = chunk_size(other)
-        for at in range(len(word) - q + 1):
-            yield other, at, word[at : at + q]
+        for at in range(size - q + 1):
+            yield other, size, at, word[at : at + q]
 
 
 def _spread(cut):
-    """mapInArrow function: one row (length, at, gram, word, n) for every piece that ``cut`` gives of a word."""
+    """mapInArrow function: one row (length, other, at, gram, word, n) for every piece that ``cut`` gives of a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for batch in batches:
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for length, at, gram in cut(word):
-                    rows.append((length, at, gram, word, n))
+                for piece in cut(word):
+                    rows.append((*piece, word, n))
                     if len(rows) >= _ROWS:
                         yield _table(rows)
                         rows = []
@@ -120,21 +123,14 @@ def _spread(cut):
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
-    names, kinds = ("length", "at", "gram", "word", "n"), (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64())
+    names, kinds = ("length", "other", "at", "gram", "word", "n"), (pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], list(names))
 
 
-def _shifted(word: str) -> Iterator[tuple[int, int, str]]:
-    for length, at, chunk in chunks(word):
-        for shift in (-1, 0, 1):
-            if at + shift >= 0:
-                yield length, at + shift, chunk
-
-
 def near_pairs(words: DataFrame, block: int = BLOCK) -> DataFrame:
     """(a, a_n, b, b_n), a < b: every pair of near words of ``words`` (word, n), once."""
-    on, shape = ["length", "at", "gram"], "length int, at int, gram string, word string, n long"
-    left, right = words.mapInArrow(_spread(_shifted), shape), words.mapInArrow(_spread(grams), shape)
+    on, shape = ["length", "other", "at", "gram"], "length int, other int, at int, gram string, word string, n long"
+    left, right = words.mapInArrow(_spread(chunks), shape), words.mapInArrow(_spread(grams), shape)
     hot = left.groupBy(*on).count().where(F.col("count") > block).select(*on, F.ceil(F.col("count") / block).cast("int").alias("blocks"))
     left = left.join(hot, on, "left").select(
         *on, F.coalesce(F.pmod(F.xxhash64("word"), "blocks"), F.lit(0)).cast("int").alias("block"), F.col("word").alias("a"), F.col("n").alias("a_n")
