@@ -24,7 +24,7 @@ def con():
 @pytest.mark.parametrize("key", sorted(entry_mod.oracle_sql()))
 def test_query_matches_oracle(spark, con, key):
     a = exact(entry_mod.queries()[key](spark, SF).toArrow())
-    b = exact(con.execute(entry_mod.oracle_sql()[key]).fetch_arrow_table())
+    b = exact(con.execute(entry_mod.oracle_sql()[key]).to_arrow_table())
     assert sorted(a.columns) == sorted(b.columns)
     assert len(a) == len(b)
     assert normalize(a) == normalize(b)
