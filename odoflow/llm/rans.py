@@ -36,14 +36,14 @@ from odoflow.llm.common import Scratch, whole_text
 from odoflow.llm.tokens import TOKENIZER, encoder
 
 SCALE_BITS = 20
-LANES = 256
+LANES = 1024
 BLOCK_TOKENS = 1 << 17
-CHECKPOINT_STEPS = 128
+CHECKPOINT_STEPS = 64
 LOWEST = np.uint64(1 << 31)
 HEADER = struct.Struct("<4sHHIIIIII")  # magic, version, lanes, tokens, steps, checkpoint steps, words, table crc, body crc
 MAGIC, VERSION = b"RANS", 1
 
-_RAW = "shard int, block int, prior long, doc_ids array<long>, lengths array<long>, n_tokens long, ids binary"
+_RAW = "shard int, block int, prior long, doc_ids array<long>, lengths array<long>, n_tokens long, ids binary, seen array<long>, times array<long>"
 _BLOCK = "shard int, block int, start long, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
 _BLOCK_NAMES = [c.split()[0] for c in _BLOCK.split(", ")]
 
@@ -57,7 +57,7 @@ class Table:
         self.crc = zlib.crc32(self.ids.tobytes() + self.freq.tobytes())
         self.place = np.full(int(self.ids[-1]) + 1, -1, np.int64)
         self.place[self.ids] = np.arange(len(self.ids))
-        self.slots = np.repeat(np.arange(len(self.ids)), self.freq.astype(np.int64))
+        self.slots = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.freq.astype(np.int64))
 
     @classmethod
     def scaled(cls, ids: np.ndarray, counts: np.ndarray) -> Table:
@@ -140,20 +140,34 @@ def decode_payload(payload: bytes, table: Table, first: int = 0, last: int | Non
 
 
 def _raw_blocks(tokenizer: str, block_tokens: int):
+    """Blocks of ids, and after them one row a task, without a block, that counts its ids."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard, block = encoder(tokenizer), TaskContext.get().partitionId(), 0
         prior = held = 0
         docs: list = []
         lengths: list[int] = []
         parts: list[bytes] = []
+        counts = np.zeros(0, np.int64)
 
-        def flush() -> pa.RecordBatch:
+        def row(number: int | None, body: bytes | None, seen: np.ndarray | None) -> pa.RecordBatch:
+            longs = pa.list_(pa.int64())
             return pa.RecordBatch.from_pydict({
-                "shard": pa.array([shard], pa.int32()), "block": pa.array([block], pa.int32()),
-                "prior": pa.array([prior], pa.int64()), "doc_ids": pa.array([docs], pa.list_(pa.int64())), "lengths": pa.array([lengths], pa.list_(pa.int64())),
-                "n_tokens": pa.array([sum(lengths)], pa.int64()), "ids": pa.array([b"".join(parts)], pa.binary()),
+                "shard": pa.array([shard], pa.int32()), "block": pa.array([number], pa.int32()),
+                "prior": pa.array([prior], pa.int64()), "doc_ids": pa.array([docs], longs), "lengths": pa.array([lengths], longs),
+                "n_tokens": pa.array([sum(lengths)], pa.int64()), "ids": pa.array([body], pa.binary()),
+                "seen": pa.array([seen], longs), "times": pa.array([None if seen is None else counts[seen]], longs),
             })
 
+        def flush() -> pa.RecordBatch:
+            nonlocal counts
+            body = b"".join(parts)
+            c = np.bincount(np.frombuffer(body, "<u4")).astype(np.int64)
+            if len(c) > len(counts):
+                counts, c = c, counts
+            counts[: len(c)] += c
+            return row(block, body, None)
+
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = enc.ids(text.as_py())
@@ -166,22 +180,12 @@ def _raw_blocks(tokenizer: str, block_tokens: int):
                 parts.append(ids)
         if lengths:
             yield flush()
+            docs, lengths = [], []
+            yield row(None, None, np.flatnonzero(counts))
 
     return run
 
 
-def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(0, np.int64)
-    for batch in batches:
-        for ids in batch.column(0):
-            c = np.bincount(np.frombuffer(ids.as_py(), "<u4"))
-            if len(c) > len(counts):
-                counts, c = c.astype(np.int64), counts
-            counts[: len(c)] += c
-    seen = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_pydict({"id": pa.array(seen, pa.int64()), "n": pa.array(counts[seen], pa.int64())})
-
-
 def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, block_tokens: int = BLOCK_TOKENS) -> None:
     """Encode every whole text of ``docs`` (doc_id, text) to files below ``path``.
 
@@ -196,7 +200,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, bl
         .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     )
     raw = scratch.save(ordered.mapInArrow(_raw_blocks(tokenizer, block_tokens), _RAW), "raw")
-    counted = raw.select("ids").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = raw.select(F.explode(F.arrays_zip("seen", "times")).alias("c")).groupBy("c.seen").agg(F.sum("c.times").alias("n"))
     rows = sorted(counted.collect())
     if rows:
         shared = Table.scaled(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64))
@@ -221,7 +225,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, bl
             kept |= {"start": pa.array(start, pa.int64()), "payload": pa.array(payload, pa.binary())}
             yield pa.RecordBatch.from_pydict({c: kept[c] for c in _BLOCK_NAMES})
 
-    raw.mapInArrow(encode, _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
+    raw.where("block is not null").drop("seen", "times").mapInArrow(encode, _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
     scratch.drop("raw")
 
 

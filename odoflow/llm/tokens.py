@@ -20,8 +20,10 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 MEMORY = 600_000
 
-# The split rule of this byte-level vocabulary, for ASCII and Latin-1 letters.
-_SPLIT = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+# The split rule of this byte-level vocabulary, for ASCII and Latin-1 letters: plain
+# character sets, and words first, as no other branch can start where they do.
+_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_SPLIT = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+|'(?:[sdmt]|ll|ve|re)| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
 _OTHER = re.compile(r"[^\x00-\x1b\x20-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]")
 
 
