@@ -16,13 +16,15 @@ Defined cases: of rows with the same (conversation, call id) the call with the l
 (turn, name, arguments) and the result with the least content count; a null call id
 or conversation never links; null texts are empty texts; a call whose arguments are
 no JSON object, or whose tool is unknown, is invalid and its arguments are kept as a
-JSON string; results without a call are returned with kind ``result`` and ``linked``
+JSON string (so are arguments nested deeper than DEEPEST, or that hold a half of a
+surrogate pair, which UTF-8 cannot write); results without a call are returned with kind ``result`` and ``linked``
 false; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,6 +33,10 @@ from pyspark.sql import functions as F
 
 from odoflow.llm.common import Scratch
 
+#: Levels of brackets up to which arguments are read.
+DEEPEST = 500
+
+_BRACKETS = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{}]', re.S)
 _KINDS = {"object": dict, "array": list, "string": str, "integer": int, "number": (int, float), "boolean": bool, "null": type(None)}
 
 
@@ -38,6 +44,23 @@ def canonical(value: object) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def read_arguments(text: str) -> tuple[object, str]:
+    """The value that ``text`` stands for and no problem, or the text itself and the problem."""
+    depth = 0
+    for found in _BRACKETS.finditer(text):
+        depth += {"[": 1, "{": 1, "]": -1, "}": -1}.get(found.group(), 0)
+        if depth > DEEPEST:
+            return text, "$: nested too deeply"
+    try:
+        value = json.loads(text)
+        canonical(value).encode()
+    except UnicodeEncodeError:
+        return text, "$: half a surrogate pair"
+    except (ValueError, RecursionError):
+        return text, "$: no JSON"
+    return value, ""
+
+
 def fault(value: object, schema: dict, at: str = "$") -> str:
     """The first way in which ``value`` breaks ``schema``; empty if none."""
     kind = schema.get("type")
@@ -96,10 +119,7 @@ def _serialised(schemas: dict[str, dict]):
                 elif r["kind"] == "result":
                     value = {"call_id": r["call_id"], "content": r["body"]}
                 else:
-                    try:
-                        arguments = json.loads(r["body"])
-                    except ValueError:
-                        arguments, problem = r["body"], "$: no JSON"
+                    arguments, problem = read_arguments(r["body"])
                     schema = schemas.get(r["name"])
                     problem = problem or ("unknown tool" if schema is None else fault(arguments, {"type": "object"} | schema))
                     valid = not problem
