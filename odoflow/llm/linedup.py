@@ -36,6 +36,7 @@ null doc_id sorts first; an empty table gives no rows; other columns are ignored
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -266,7 +267,7 @@ class LineDedup:
         posts = classes.select("number", "n", "sign", F.explode(F.arrays_zip("words", "places")).alias("at"))
         posts = posts.select(F.col("at.words").alias("word"), "number", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at.places")).alias("size"), "sign")
         matched, ahead, low = None, None, 1
-        for k in range(1, 64):
+        for k in count(1):
             high, rows, is_open = STEP**k + 1, posts, F.lit(True)
             if ahead is not None:
                 rows = posts.join(ahead.select(F.col("word").alias("ahead")).distinct(), F.col("word") == F.col("ahead"), "left_semi")
@@ -305,7 +306,7 @@ class LineDedup:
         met = docs.join(lost, docs["doc_id"].eqNullSafe(lost["lost_id"]) & (docs["text_hash"] == lost["lost_hash"]), "left")
         kept = F.expr("filter(split(text, '\\n'), (x, i) -> not array_contains(lines, i))")
         return met.select(
-            "doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
-            F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_removed"),
+            "doc_id", F.coalesce(F.array_size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
+            F.coalesce(F.array_size("lines"), F.lit(0)).cast("long").alias("n_removed"),
             F.when(F.col("lines").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n")).alias("text"),
         )
