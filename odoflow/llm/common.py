@@ -61,9 +61,10 @@ def fold(doc_id: str, modulus: int) -> Column:
 
 def matching(docs: DataFrame, named: DataFrame, how: str) -> DataFrame:
     """The rows of ``docs`` (doc_id, text) that stand in ``named`` (doc_id, text_sha256), with ``how`` left_semi,
-    or do not, with left_anti; all columns stay."""
+    or do not, with left_anti; all columns stay. ``named`` grows with the rows, so it is never broadcast: one plan
+    at every size, in which the rows of ``docs`` are shuffled once."""
     key = "odoflow_text_sha256"  # a name that the columns of docs do not have
-    keyed, named = docs.withColumn(key, text_key()), named.select(F.col("doc_id").alias("named_id"), F.col("text_sha256").alias("named_sha256"))
+    keyed, named = docs.withColumn(key, text_key()), named.select(F.col("doc_id").alias("named_id"), F.col("text_sha256").alias("named_sha256")).hint("merge")
     return keyed.join(named, keyed["doc_id"].eqNullSafe(named["named_id"]) & (keyed[key] == named["named_sha256"]), how).drop(key)
 
 

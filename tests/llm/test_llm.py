@@ -60,6 +60,15 @@ def test_remembered_pieces_equal_the_library(text):
     assert np.frombuffer(tokens.encoder().ids(text), "<u4").tolist() == library_ids([text])[0]
 
 
+def test_pieces_survive_the_change_of_generations(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY", 8)
+    small = tokens._Known(tokens.encoder().tokenizer.model)
+    pieces = [" a", "bc", "\n\n", "é", " déjà", "\x00", "9", " zq", "~", "!?", " a", "bc"] * 3
+    for p in pieces:
+        want = np.array(tokens.encoder().tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+        assert small[p] == want and len(small) <= 4 and len(small.older) <= 4
+
+
 @pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y <|endoftext", "é <|endoftext|> 　"])
 def test_added_tokens_are_those_of_the_library(text):
     import public_tokenizers
@@ -350,9 +359,32 @@ def test_line_dedup_does_not_depend_on_the_order_of_rows(spark):
     assert [r[2] for r in got[0]] == [1, *[3] * 39, 0, 1]
 
 
+def test_line_dedup_counts_without_ansi_mode(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        rows = [(1, "a b c\nx"), (2, "a b c"), (3, None)]
+        got = linedup.LineDedup(spark.createDataFrame(rows, "doc_id long, text string")).report().collect()
+        assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in got} == {1: (2, 0, "a b c\nx"), 2: (1, 1, ""), 3: (0, 0, "")}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
 # ---------------------------------------------------------------- op9
 
 
+@pytest.mark.parametrize(("text", "problem"), [
+    ("[" * 200_000, "$: nested too deeply"), ('{"a":' * 501 + "1" + "}" * 501, "$: nested too deeply"), ('{"a":"\\ud800"}', "$: half a surrogate pair"),
+    ('{"a":' + "9" * 10_000 + "}", "$: no JSON"), ("", "$: no JSON"), ('{"a":"\\ud83d\\ude00"}', ""), ('{"a":"[[[\\"[["}', ""), ('{"a":[' + "[],[{}]," * 5000 + "1]}", ""),
+    ("[" * 500 + "]" * 500, ""),
+])
+def test_arguments_that_cannot_be_written_stay_text(text, problem):
+    value, found = toolcalls.read_arguments(text)
+    assert found == problem
+    assert value == (text if problem else json.loads(text))
+    assert toolcalls.canonical({"arguments": value}).encode()
+
+
 def test_tool_calls(spark):
     messages = spark.createDataFrame([(1, 0, "user", "hi \"x\"\n"), (1, 1, None, None)], "conv_id long, turn long, role string, text string")
     calls = spark.createDataFrame(
@@ -452,6 +484,18 @@ def test_pipeline_decides_on_rows_not_ids(spark, monkeypatch):
     assert after(p.drop_contaminated) == ["b", "c", "d", "g", "i", "j"]
 
 
+def test_pipeline_shuffles_texts_by_one_plan_at_every_size(spark):
+    """Rows and decisions meet by sort and merge, also where the decisions are few."""
+    import corpus_pipeline as p
+
+    docs = spark.createDataFrame([(1, BASE, 1.5), (2, "x", None), (3, "x", None)], "doc_id long, text string, `a b` double")
+    for stage in (p.drop_toxic, p.drop_exact_copies, p.drop_near_copies, p.drop_contaminated):
+        out = stage(spark, docs, SF)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert out.columns == docs.columns
+
+
 def test_pipeline(spark, docs, empty):
     import corpus_pipeline as p
 
