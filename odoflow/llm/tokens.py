@@ -37,18 +37,26 @@ def _printable_bytes() -> dict[int, str]:
 
 
 class _Known(dict):
-    """Piece of text -> its ids as bytes; forgets all when full."""
+    """Piece of text -> its ids as bytes, in two generations: when the younger is full it replaces the
+    older, and pieces met again move up, so the frequent ones stay."""
 
     def __init__(self, model) -> None:
         super().__init__()
-        self.model, self.table = model, _printable_bytes()
+        self.model, self.table, self.older = model, _printable_bytes(), {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MEMORY:
+        if len(self) >= MEMORY // 2:
+            self.older = dict(self)
             self.clear()
-        shown = piece.encode().decode("latin-1").translate(self.table)
-        tokens = self.model.tokenize(shown)
-        ids = self[piece] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        ids = self.older.get(piece)
+        if ids is None:
+            if piece.isascii() and piece.isprintable():
+                shown = piece.replace(" ", self.table[32])
+            else:
+                shown = piece.encode().decode("latin-1").translate(self.table)
+            tokens = self.model.tokenize(shown)
+            ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        self[piece] = ids
         return ids
 
 
