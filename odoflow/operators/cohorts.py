@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from odoflow.functions.columns import dow_sunday0, format_percent, format_thousands, pct_change
+from odoflow.functions.columns import dow_sunday0, format_percent, pct_change
 from odoflow.params import CohortFilter, CohortSpec
 
 
@@ -132,6 +132,34 @@ def tod_profile(tagged: DataFrame, label: str = "when") -> DataFrame:
     )
 
 
+PANELS = ("kpi", "by_date", "by_dow", "by_tod", "by_station")
+
+
+def all_panels(tagged: DataFrame) -> DataFrame:
+    """AG5-AG10 in one aggregation: (panel, cohort, key, n, entries, exits), means over the ``n`` days behind a row.
+
+    GROUPING SETS over the tagged rows, so the facts are read and shuffled once for all panels. A group keeps the set
+    of its days (``by_station``: of its days and boroughs, as the daily table has one row for each), which
+    the calendar bounds. ``key`` is the date, weekday, hour or station as text, NULL for ``kpi``.
+    """
+    keys = {"by_date": "date", "by_dow": "dow", "by_tod": "hour", "by_station": "station"}
+    sets = [["cohort"]] + [["cohort", c] for c in keys.values()]
+    grouped = tagged.groupingSets([[F.col(c) for c in s] for s in sets], "cohort", *keys.values()).agg(
+        F.sum("entries").alias("_e"), F.sum("exits").alias("_x"),
+        F.size(F.collect_set("date")).alias("_days"),
+        F.size(F.collect_set(F.struct(F.col("date").alias("d"), F.col("boro").alias("b")))).alias("_rows"),
+        *[F.grouping(c).alias(f"_{c}") for c in keys.values()],
+    )
+    panel, key = F.lit("kpi"), F.lit(None).cast("string")
+    for name, c in keys.items():
+        panel = F.when(F.col(f"_{c}") == 0, name).otherwise(panel)
+        key = F.when(F.col(f"_{c}") == 0, F.col(c).cast("string")).otherwise(key)
+    n = F.when(F.col("_station") == 0, F.col("_rows")).otherwise(F.col("_days")).cast("long")
+    return grouped.select(
+        panel.alias("panel"), "cohort", key.alias("key"), n.alias("n"), (F.col("_e") / n).alias("entries"), (F.col("_x") / n).alias("exits")
+    )
+
+
 def label_order(label: Column, order: Sequence[str]) -> Column:
     """SO2: rank of a label in a fixed display order (unknown labels last)."""
     rank = F.lit(len(order) + 1)
@@ -215,20 +243,22 @@ def station_page(
     sort_by: str = "entries_selection",
     descending: bool = True,
     name_filter: str | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
     """SO7: one sorted page of the station table with display formatting.
 
     The page is the feature (offset/limit on a sorted result, planned as a
-    top-k); ties are broken by name and key for a stable page.
+    top-k); ties are broken by name and key for a stable page. ``where`` filters on any
+    column of ``compare``. Entries are shown without decimals or separators.
     """
-    df = compare
+    df = compare if where is None else compare.filter(where)
     if name_filter:
         df = df.filter(F.col("pretty_name").contains(name_filter))
     key = F.col(sort_by).desc_nulls_last() if descending else F.col(sort_by).asc_nulls_last()
     ordered = df.orderBy(key, F.col("pretty_name").asc(), F.col("station").asc())
     return ordered.offset(page * page_size).limit(page_size).select(
         F.col("pretty_name").alias("station"),
-        format_thousands(F.round("entries_selection", 0)).alias("entries"),
+        F.round("entries_selection", 0).cast("long").cast("string").alias("entries"),
         format_percent("pct_v_2019").alias("pct_v_2019"),
         format_percent("pct_v_pandemic").alias("pct_v_pandemic"),
     )

@@ -82,6 +82,12 @@ def write_reading_files(raw: DataFrame, path: str, mode: str = "overwrite", max_
     return path
 
 
+def write_lines(lines: DataFrame, path: str) -> str:
+    """Text lines (week, line) as they are, a folder per week. Weeks that ``lines`` holds are replaced, others stay."""
+    lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("week").text(path)
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint root (never a machine-local temp dir)."""
     return f"{checkpoint_root(spark).rstrip('/')}/odoflow/{name}-{uuid.uuid4().hex[:12]}"

@@ -17,23 +17,12 @@ from pyspark.sql import functions as F
 
 from odoflow.operators.series import series_running_sum
 from odoflow.params import CohortSpec
-
-
-_SCANS: dict[str, tuple[SparkSession, DataFrame]] = {}
+from odoflow.schemas import RAW_CSV_SCHEMA
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one driver table.
-
-    The relation (file listing, footer schema) is built once per session and
-    path; every query still scans the files when it runs.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    hit = _SCANS.get(path)
-    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
-        hit = (spark, spark.read.parquet(path))
-        _SCANS[path] = hit
-    return hit[1]
+    """Parquet scan of one driver table, listed anew at each call."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def readings(spark: SparkSession, sf_dir: str, chunk_days: int = 7) -> DataFrame:
@@ -103,6 +92,28 @@ def raw_from_readings(readings_df: DataFrame) -> DataFrame:
     )
 
 
+def reading_lines(raw_df: DataFrame, damage: bool = False) -> DataFrame:
+    """(week, line): raw readings as text of the weekly files, without headers.
+
+    With ``damage``, every reading whose entry counter divides by 41 arrives broken, in one of four ways: cut after the
+    fifth field, an impossible date, an impossible time, a counter beyond 32 bits.
+    """
+    way = F.when(F.lit(damage) & (F.col("ENTRY_COUNTER") % 41 == 0), F.floor(F.col("EXIT_COUNTER") / 12) % 4)
+    head = [F.col(c) for c in ("`C/A`", "UNIT", "SCP", "STATION", "LINENAME")]
+    day = F.when(way == 1, "13/45/2024").otherwise(F.date_format("DATE", "MM/dd/yyyy"))
+    time = F.when(way == 2, "25:61:00").otherwise(F.col("TIME"))
+    entry = F.when(way == 3, "99999999999").otherwise(F.col("ENTRY_COUNTER").cast("string"))
+    whole = F.concat_ws(",", *head, "DIVISION", day, time, "DESC", entry, F.col("EXIT_COUNTER").cast("string"))
+    week = F.date_format(F.next_day("DATE", "Sat"), "yyMMdd")
+    return raw_df.select(week.alias("week"), F.when(way == 0, F.concat_ws(",", *head)).otherwise(whole).alias("line"))
+
+
+def header_lines(lines: DataFrame) -> DataFrame:
+    """One header line per week, with the padding that the published files have."""
+    titles = F.rpad(F.lit(",".join(f.name for f in RAW_CSV_SCHEMA)), 140, " ")
+    return lines.select("week").distinct().select("week", titles.alias("line"))
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_from_readings(readings(spark, sf_dir))
 
@@ -150,6 +161,12 @@ PROXY_CENTRAL_STATIONS: tuple[str, ...] = (
     "NATION_14-L0", "NATION_14-L1", "NATION_22-L0", "NATION_22-L2", "NATION_24-L1",
 )
 
+# The same role under the names of the pandas staging (sorted line letters, division suffix).
+PROXY_PANDAS_CENTRAL: tuple[str, ...] = (
+    "NATION_0-2L-SRT", "NATION_1-1L-PTH", "NATION_2-1L", "NATION_2-2L", "NATION_3-0L",
+    "NATION_8-0L", "NATION_8-2L", "NATION_14-0L", "NATION_14-1L", "NATION_22-0L",
+)
+
 
 PROXY_COHORTS: tuple[CohortSpec, ...] = (
     CohortSpec("2019", date(2024, 1, 1), date(2024, 1, 8)),

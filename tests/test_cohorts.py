@@ -93,3 +93,30 @@ def test_all_values_ticked_is_no_filter(spark):
     every = CohortFilter(dow=tuple(range(7)), tod=(4, 8, 12, 16, 20, 24), boro=(1, 2, 3, 4, 5))
     assert df.filter(filter_predicate(every)).count() == 2
     assert df.filter(filter_predicate(CohortFilter(boro=(1, 2, 3, 4)))).count() == 1
+
+
+def test_all_panels_come_from_one_aggregate_exchange(spark, tmp_path):
+    """The figures of the panels' own queries, and a plan with one exchange over the facts."""
+    from odoflow.plans.stages import Stages
+    from odoflow.sources import proxy
+
+    path = str(tmp_path / "facts")
+    Stages(spark, "/root/testdata/sf0.001").hourly_clean.write.parquet(path)
+    tagged = co.tag_cohorts(spark.read.parquet(path), proxy.PROXY_COHORTS)
+    panels = co.all_panels(tagged)
+    assert panels._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+    def rows(name):
+        return {(r.cohort, r.key): (r.n, round(r.entries, 6), round(r.exits, 6)) for r in panels.where(F.col("panel") == name).collect()}
+
+    daily = co.cohort_daily(tagged)
+    summary = co.cohort_summary(daily)
+    own = {
+        "by_dow": (co.dow_profile(summary), "dow"),
+        "by_tod": (co.tod_profile(tagged), "hour"),
+    }
+    for name, (df, key) in own.items():
+        assert rows(name) == {(r["when"], str(r[key])): (r.n, round(r.entries, 6), round(r.exits, 6)) for r in df.collect()}
+    assert rows("by_date") == {(r.cohort, str(r.date)): (1, float(r.entries), float(r.exits)) for r in summary.collect()}
+    by_station = daily.groupBy("cohort", "station").agg(F.count("*").alias("n"), F.avg("entries").alias("e"), F.avg("exits").alias("x"))
+    assert rows("by_station") == {(r.cohort, r.station): (r.n, round(r.e, 6), round(r.x, 6)) for r in by_station.collect()}

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry_mod
 
 SF = "/root/testdata/sf0.001"
-SIDE_EFFECTS = {"csv_roundtrip", "load_reconciliation", "incremental_ingest"}
+SIDE_EFFECTS = {"csv_roundtrip", "load_reconciliation", "incremental_ingest", "load_rejects", "rejected_lines", "load_accepted", "landing_report"}
 KEYS = [k for k in entry_mod.queries() if k not in SIDE_EFFECTS]
 
 
