@@ -8,8 +8,9 @@ of m code points gives all its positional grams of the sizes q that words of m -
 m and m + 1 code points use. One edit touches at most one of two disjoint chunks and
 moves what follows it by one place, so some chunk of either word stands in the other
 within shift one: the first chunk in its place, or the last one moved by the difference
-of the lengths. Both sides meet by (both lengths, place, gram); ``levenshtein`` with
-bound 1 verifies inside the join, so that only near pairs leave it.
+of the lengths. Both sides meet by the 64-bit hash of (both lengths, place, gram), one number
+to shuffle and sort by; ``levenshtein`` with bound 1 verifies the words inside the join, so that only
+near pairs leave it and grams whose hashes agree by chance change nothing.
 
 A pair is looked for from its lesser word only. A chunk that more than BLOCK words
 share is dealt in blocks over several tasks, each of which meets all its grams:
@@ -129,15 +130,19 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
 
 def near_pairs(words: DataFrame, block: int = BLOCK) -> DataFrame:
     """(a, a_n, b, b_n), a < b: every pair of near words of ``words`` (word, n), once."""
-    on, shape = ["length", "other", "at", "gram"], "length int, other int, at int, gram string, word string, n long"
-    left, right = words.mapInArrow(_spread(chunks), shape), words.mapInArrow(_spread(grams), shape)
-    hot = left.groupBy(*on).count().where(F.col("count") > block).select(*on, F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    left = left.join(hot, on, "left").select(
-        *on, F.coalesce(F.pmod(F.xxhash64("word"), "blocks"), F.lit(0)).cast("int").alias("block"), F.col("word").alias("a"), F.col("n").alias("a_n")
-    )
-    dealt = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
-    right = right.join(hot, on, "left").select(*on, F.explode(dealt).alias("block"), F.col("word").alias("b"), F.col("n").alias("b_n"))
-    met = left.join(right, [*on, "block"]).where((F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
+    shape = "length int, other int, at int, gram string, word string, n long"
+    place = F.xxhash64("length", "other", "at", "gram").alias("place")
+    left = words.mapInArrow(_spread(chunks), shape).select(place, F.col("word").alias("a"), F.col("n").alias("a_n"))
+    right = words.mapInArrow(_spread(grams), shape).select(place, F.col("word").alias("b"), F.col("n").alias("b_n"))
+    hot = left.groupBy("place").count().where(F.col("count") > block).select("place", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+
+    def met_at(dealt: Column) -> Column:
+        return F.when(F.col("blocks").isNull(), F.col("place")).otherwise(F.xxhash64("place", dealt)).alias("met_at")
+
+    left = left.join(hot, "place", "left").select(met_at(F.pmod(F.xxhash64("a"), "blocks").cast("int")), "a", "a_n")
+    every = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    right = right.join(hot, "place", "left").select("*", F.explode(every).alias("dealt")).select(met_at(F.col("dealt")), "b", "b_n")
+    met = left.join(right, "met_at").where((F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "a_n", "b", "b_n").distinct()
 
 
