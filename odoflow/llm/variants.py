@@ -142,7 +142,8 @@ def near_pairs(words: DataFrame, block: int = BLOCK) -> DataFrame:
     left = left.join(hot, "place", "left").select(met_at(F.pmod(F.xxhash64("a"), "blocks").cast("int")), "a", "a_n")
     every = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
     right = right.join(hot, "place", "left").select("*", F.explode(every).alias("dealt")).select(met_at(F.col("dealt")), "b", "b_n")
-    met = left.join(right, "met_at").where((F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
+    # sorted and merged at every size: a long word's grams are small when compressed, not when broadcast
+    met = left.join(right.hint("merge"), "met_at").where((F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "a_n", "b", "b_n").distinct()
 
 
