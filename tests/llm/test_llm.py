@@ -259,6 +259,45 @@ def test_toxicity_separates(spark):
     assert held_out_auc(spark, toxicity, "toxic") > 0.8
 
 
+def test_toxicity_trains_on_every_row(spark):
+    """What is toxic only in rows that the first 1,500 of a label (by the hash of the id) leave out is learnt too."""
+    spread = spark.range(4600).select("id", F.xxhash64("id").alias("h")).where("crc32(cast(id as string)) % 4 != 2").orderBy("h").collect()
+    toxic = [r.id for r in spread if r.id % 2][:1650]
+    late, rng = set(toxic[1500:]), np.random.default_rng(3)
+
+    def text(i):
+        said = [f"word{k}" for k in rng.integers(0, 60, 12)]
+        return " ".join([*said, "zorgle" if i in late else "vile" if i in toxic else "mild"])
+
+    rows = [(r.id, text(r.id), int(r.id in toxic)) for r in spread]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, y int"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    found = {r.doc_id: r.predicted for r in toxicity.score(docs.drop("y"), toxicity.train(docs.drop("y"), labels)).collect()}
+    assert len(late) == 150 and sum(found[i] for i in late) > 140
+    assert sum(found[i] != y for i, _, y in rows) < 0.02 * len(rows)
+
+
+def test_toxicity_passes_meet_in_the_weighted_mean(spark):
+    """Two tasks' states, summed by Spark, are their mean weighted by rows; embeddings by the occurrences of their buckets."""
+    rng = np.random.default_rng(5)
+    rows = [(k % 2, *([[int(b) for b in rng.integers(0, 50, 9)]] * 3)) for k in range(40)]
+    lanes, schema = (rows[:30], rows[30:]), "y int, b0 array<short>, b1 array<short>, b2 array<short>"
+    known = spark.sparkContext.broadcast(toxicity.Fit().state())
+    sent, weights, totals = "lane int, chunk int, weight binary, total binary", [], []
+    both = None
+    for lane, part in enumerate(lanes):
+        got = spark.createDataFrame(part, schema).coalesce(1).mapInArrow(toxicity._pass(known, 11), sent)
+        got = got.withColumn("lane", F.lit(lane)).localCheckpoint()
+        both = got if both is None else both.unionByName(got)
+        held = sorted((r.chunk, bytes(r.weight), bytes(r.total)) for r in got.collect())
+        weights.append(np.concatenate([np.frombuffer(w) for _, w, _ in held]))
+        totals.append(np.concatenate([np.frombuffer(t).reshape(-1, 3 * toxicity.DIM) for *_, t in held]))
+        assert weights[-1][-1] == len(part) and round(weights[-1][: toxicity.BUCKETS].sum()) == 27 * len(part) + 33
+    means = both.repartition("chunk").sortWithinPartitions("chunk", "lane").mapInArrow(toxicity._summed, "chunk int, mean binary").collect()
+    got = np.concatenate([np.frombuffer(r["mean"]).reshape(-1, 3 * toxicity.DIM) for r in sorted(means)])
+    assert np.array_equal(got, (totals[0] + totals[1]) / (weights[0] + weights[1])[:, None])
+    assert toxicity.Fit(got).step == (30 * 1 + 10 * 1) / 40
+
+
 @pytest.mark.parametrize("module,label", [(quality, "quality"), (toxicity, "toxic")])
 def test_classifier_edges(spark, docs, empty, module, label):
     none = spark.createDataFrame([], f"doc_id long, {label} int")
