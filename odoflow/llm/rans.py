@@ -169,8 +169,7 @@ def _raw_blocks(tokenizer: str, block_tokens: int):
             return row(block, body, None)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = enc.ids(text.as_py())
+            for doc, ids in zip(batch.column(0).to_pylist(), enc.ids_of(batch.column(1).to_pylist())):
                 if lengths and held + len(ids) // 4 > block_tokens:
                     yield flush()
                     block, prior, held, docs, lengths, parts = block + 1, prior + held, 0, [], [], []

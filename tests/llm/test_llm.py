@@ -60,6 +60,37 @@ def test_remembered_pieces_equal_the_library(text):
     assert np.frombuffer(tokens.encoder().ids(text), "<u4").tolist() == library_ids([text])[0]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from(list("ab'sdlvreS2 \n\t9_-É\x00\x1c\x1f½’　")), st.characters(exclude_categories=["Cs"])), max_size=30), max_size=6), st.sampled_from([8, 1 << 20]))
+def test_pieces_of_many_texts_equal_the_library(texts, size):
+    old, tokens.SLICE = tokens.SLICE, size
+    try:
+        got = list(tokens.encoder().ids_of(texts))
+    finally:
+        tokens.SLICE = old
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == library_ids(texts)
+
+
+@pytest.mark.parametrize("text", ["it's we'll I've you're I'd I'm can't 'street 'llama ''s !'s 's x 's\n't '", "a  b", "  a", "a  ", "a \n b\n\n  c\r\n", " \n", "é's à ÿ'll", "9'd1 'x2'm"])
+def test_split_points_on_bytes(text):
+    said = [text, "", text[::-1], text + " " + text]
+    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.encoder().ids_of(said)] == library_ids(said)
+
+
+def test_each_distinct_piece_of_many_texts_is_looked_up_once(monkeypatch):
+    enc, asked = tokens.encoder(), []
+    want, known = [enc.ids(t) for t in ["the cat the", "the cat"] * 50], enc.known
+
+    class Asked(dict):
+        def __missing__(self, piece):
+            asked.append(piece)
+            return known[piece]
+
+    monkeypatch.setattr(enc, "known", Asked())
+    assert list(enc.ids_of(["the cat the", "the cat"] * 50)) == want
+    assert sorted(asked) == [tokens.END, " cat", " the", "the"]
+
+
 def test_pieces_survive_the_change_of_generations(monkeypatch):
     monkeypatch.setattr(tokens, "MEMORY", 8)
     small = tokens._Known(tokens.encoder().tokenizer.model)
