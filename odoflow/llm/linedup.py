@@ -81,7 +81,7 @@ def _words(lines: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def _hashes(words: pa.Array) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words.to_pylist()), np.uint64, len(words)).view(np.int64)
+    return np.fromiter(map(xxhash.xxh64_intdigest, words.to_numpy(zero_copy_only=False)), np.uint64, len(words)).view(np.int64)
 
 
 def _lines(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
@@ -230,7 +230,7 @@ class LineDedup:
 
     def __init__(self, docs: DataFrame, similarity: float = SIMILARITY) -> None:
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        self.s, self.scratch = similarity, Scratch(docs.sparkSession, "lines")
+        self.s, self.scratch = similarity, Scratch(docs.sparkSession, "lines", tidy=True)
         self.lines = self._lines()
         at = F.struct(*_LINE)
         first = self.lines.groupBy("set_id").agg(F.min(at).alias("first"), F.min(F.when(F.col("raw").isNotNull(), at)).alias("shown"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import glob
 import hashlib
 import json
 import math
+import os
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -270,6 +273,20 @@ def test_near_duplicates(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_tidy_tables_leave_no_shuffle_files(spark):
+    def files():
+        folders = [str(f) for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+        return {os.path.basename(f) for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+    before, saved = files(), Scratch(spark, "test", tidy=True).save(spark.range(1000).repartition(3, "id"), "rows")
+    deadline = time.monotonic() + 20  # they go in the background
+    while files() - before and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not files() - before and saved.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    assert linedup.LineDedup(spark.createDataFrame([(1, "a b")], "doc_id long, text string")).scratch.tidy
+
+
 # ---------------------------------------------------------------- op4, op7
 
 
