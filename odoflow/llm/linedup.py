@@ -41,7 +41,6 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,14 +48,19 @@ from odoflow.llm.common import Scratch
 
 SIMILARITY = 0.8
 ORDER_BITS = 20
-STEP = 16
+#: Cells of a row of counts.
+PART = 1 << 16
+#: Places of a word's postings that the first sweep looks back, pairs that it takes of a posting, and what later sweeps multiply both by.
+REACH, MOST, STEP = 256, 32, 16
+#: Hash cells by which rows are sifted before a join.
+SIFT_BITS = 24
 #: Line sets that a task remembers to post each once.
 HOLD = 500_000
 #: Bytes of lines that a task splits into words at a time (one longer line goes alone).
-SLICE = 4 << 20
+SLICE = 1 << 18
 
 _LINE = ("doc_id", "line", "text_hash")
-_LINES = "doc_id long, text_hash long, line int, set_id long, n int, sign long, words array<int>, places array<int>, raw string"
+_LINES = "doc_id long, text_hash long, line int, set_id long, n int, sign long, posts array<long>"
 _CODE = np.int64(0xFFFFFFFF)
 
 
@@ -72,38 +76,98 @@ def _cuts(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip([0, *edges], [*edges, len(sizes)])
 
 
-def _words(lines: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct words of some lines, and for every word in them its line and its place among the distinct ones."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(lines))
-    row, coded = np.repeat(np.arange(len(lines)), split.value_lengths().to_numpy()), split.flatten().dictionary_encode()
-    code, blank = coded.indices.to_numpy().astype(np.int64), pc.index(coded.dictionary, "").as_py()
-    return coded.dictionary, row[code != blank], code[code != blank]
+_SPACES, _LOWER = bytes(c in b"\t\n\v\f\r " for c in range(256)), bytes(c + 32 * (65 <= c <= 90) for c in range(256))
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """The finalizer of MurmurHash3, a bijection of 64 bits."""
+    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(33))
+
+
+def _hashes(data: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words at these places, taken 8 bytes at a time."""
+    eights = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,))
+    found, going = size.astype(np.uint64), np.arange(len(start))
+    while len(going):
+        at, left = start[going], size[going]
+        part = eights[at] & (~np.uint64(0) >> (8 * np.maximum(8 - left, 0)).astype(np.uint64))
+        found[going] = _mix((found[going] ^ part) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+        going = going[left > 8]
+        start, size = start + 8, size - 8
+    return found
 
 
-def _hashes(words: pa.Array) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words.to_numpy(zero_copy_only=False)), np.uint64, len(words)).view(np.int64)
+def _words(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of some lines, each followed by a newline at ``ends``, and the words before the end of each line."""
+    blank = np.frombuffer(b"\x01" + data.translate(_SPACES), np.uint8)
+    edge = np.flatnonzero(blank[1:] != blank[:-1])  # the last byte is a newline
+    start, end = edge[0::2], edge[1::2]
+    return _hashes(data.translate(_LOWER), start, end - start), np.searchsorted(start, ends)
 
 
-def _lines(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
-    """(row of the batch, line number, line) in slices."""
-    split = pc.split_pattern(batch.column("text"), "\n")
-    sizes = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    row, lines = np.repeat(np.arange(len(sizes)), sizes), split.flatten()
-    number = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    for i, j in _cuts(pc.binary_length(lines).to_numpy(zero_copy_only=False) + 1):
+def _cells(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
+
+
+def _joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of some texts (null: empty), each followed by a newline, and where each begins and the last ends."""
+    empty, newline = (pa.scalar(x, pa.large_utf8()) for x in ("", "\n"))
+    texts = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_utf8()), empty), empty, newline)
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return np.frombuffer(texts.buffers()[2], np.uint8)[edges[0] : edges[-1]], edges - edges[0]
+
+
+def _lines(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, bytes, np.ndarray]]:
+    """(row of the batch, line number, bytes, newline after each line in them) in slices of whole lines."""
+    data, edges = _joined(batch.column("text"))
+    ends = np.flatnonzero(data == ord("\n"))
+    before = np.searchsorted(ends, edges)
+    row = np.repeat(np.arange(len(edges) - 1), np.diff(before))
+    number, begins = np.arange(len(row)) - before[row], np.append(0, ends + 1)
+    for i, j in _cuts(np.diff(begins)):
         if j > i:
-            yield row[i:j], number[i:j], lines.slice(i, j - i)
+            yield row[i:j], number[i:j], data[begins[i] : begins[j]].tobytes(), ends[i:j] - begins[i]
+
+
+def _coded(lines: pa.Array) -> np.ndarray:
+    """For every word of some lines its line << 32 plus its place among their distinct words."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(lines))
+    row, coded = np.repeat(np.arange(len(lines)), split.value_lengths().to_numpy()), split.flatten().dictionary_encode()
+    code, blank = coded.indices.to_numpy().astype(np.int64), pc.index(coded.dictionary, "").as_py()
+    return (row << 32 | code)[code != blank]
+
+
+def _hash_codes(lines: pa.Array) -> np.ndarray:
+    """The same by the hashes of the words."""
+    data, edges = _joined(lines)
+    hashes, before = _words(data.tobytes(), edges[1:] - 1)
+    return np.repeat(np.arange(len(lines)) << 32, np.diff(before, prepend=0)) | pa.array(hashes).dictionary_encode().indices.to_numpy()
 
 
 def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cell, n): occurrences of the words of each cell in a task."""
+    """(part, counts): occurrences of the words of each cell in a task, PART cells at a time, packed."""
     table = np.zeros(1 << ORDER_BITS, np.int64)
     for batch in batches:
-        for _, _, lines in _lines(batch):
-            words, _, code = _words(lines)
-            np.add.at(table, _hashes(words) & (len(table) - 1), np.bincount(code, minlength=len(words)))
-    cells = np.flatnonzero(table)
-    yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(table[cells])], names=["cell", "n"])
+        for _, _, data, ends in _lines(batch):
+            np.add.at(table, _cells(_words(data, ends)[0]), 1)
+    parts = [k for k in range(len(table) // PART) if table[k * PART : (k + 1) * PART].any()]
+    packed = [pa.compress(table[k * PART : (k + 1) * PART].tobytes(), "zstd", asbytes=True) for k in parts]
+    yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(packed, pa.binary())], names=["part", "counts"])
+
+
+def _unpacked(counts: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(counts, 8 * PART, "zstd", asbytes=True), np.int64)
+
+
+def _add_counts(rows: pa.Table) -> pa.Table:
+    total = np.zeros(PART, np.int64)
+    for counts in rows.column("counts"):
+        total += _unpacked(counts.as_py())
+    return pa.table([rows.column("part").slice(0, 1), pa.array([pa.compress(total.tobytes(), "zstd", asbytes=True)], pa.binary())], names=["part", "counts"])
 
 
 def _list(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -116,43 +180,48 @@ def _describe(counts, s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for source, number, lines in _lines(batch):
-                words, row, code = _words(lines)
-                if not len(row):
+            for source, number, data, ends in _lines(batch):
+                hashes, before = _words(data, ends)
+                if not len(hashes):
                     continue
-                hashes = _hashes(words)
-                often = counts.value[hashes & ((1 << ORDER_BITS) - 1)]
-                by_rarity = np.lexsort((hashes, often))
-                rank = np.empty(len(words), np.int64)
-                rank[by_rarity] = np.arange(len(words))
-                hashes, often = hashes[by_rarity], often[by_rarity]
-                keys = np.sort(row << 32 | rank[code])
+                coded = pa.array(hashes).dictionary_encode()
+                hashes = coded.dictionary.to_numpy()
+                often = counts.value[_cells(hashes)]
+                # By count, then by hash; 24 and 40 bits of them order all but a few.
+                order = np.minimum(often, (1 << 24) - 1).astype(np.uint64) << np.uint64(40) | hashes >> np.uint64(24)
+                by_rarity = np.argsort(order)
+                if not np.diff(order[by_rarity]).all():
+                    by_rarity = np.lexsort((hashes, order))
+                rank = np.empty(len(hashes), np.int64)
+                rank[by_rarity] = np.arange(len(hashes))
+                hashes, often = hashes[by_rarity].view(np.int64), often[by_rarity]
+                keys = np.sort(np.repeat(np.arange(len(ends)) << 32, np.diff(before, prepend=0)) | rank[coded.indices.to_numpy()])
                 keys = keys[np.diff(keys, prepend=-1) != 0]
                 code, row = keys & _CODE, keys >> 32
                 word, start = hashes[code], np.flatnonzero(np.diff(row, prepend=-1))
                 size, held = np.diff(np.append(start, len(row))), row[start]
-                line = np.repeat(np.arange(len(start)), size)
-                place, data = np.arange(len(row)) - start[line], memoryview(word.tobytes())
-                ids = [xxhash.xxh64_intdigest(data[8 * i : 8 * (i + n)]) for i, n in zip(start.tolist(), size.tolist())]
+                place = np.arange(len(row)) - np.repeat(start, size)
+                # Sums of the mixed hashes tell sets apart.
+                ids = _mix(np.add.reduceat(_mix(word.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)), start)).view(np.int64)
                 fresh = np.zeros(len(ids), bool)
-                for k, i in enumerate(ids):
+                for k, i in enumerate(ids.tolist()):
                     if i not in seen:
                         fresh[k] = True
                         seen.add(i)
                 if len(seen) > HOLD:
                     seen.clear()
-                bit = np.left_shift(np.int64(1), word & 63)
-                sign = np.bitwise_xor.reduceat(bit, start)
+                sign = np.bitwise_xor.reduceat(np.left_shift(np.int64(1), word & 63), start)
                 # A set of n words can match one of another size only if it can match one of n + 1.
                 fresh &= size * (1 - s) >= s - 1e-9
-                post = (place < (size - np.ceil(s * size - 1e-9).astype(np.int64) + 1)[line]) & (often[code] > 1) & fresh[line]
-                posted = np.bincount(line[post], minlength=len(start))
-                at, kept = pa.array(source[held]), pa.array(np.where(posted > 0, held, -1))
+                post = place < np.repeat(np.where(fresh, size - np.ceil(s * size - 1e-9).astype(np.int64) + 1, 0), size)
+                post &= often[code] > 1
+                posted = np.add.reduceat(post.astype(np.int64), start)
+                at = pa.array(source[held])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(at), batch.column("text_hash").take(at), pa.array(number[held], pa.int32()),
-                        pa.array(np.array(ids, np.uint64).view(np.int64)), pa.array(size, pa.int32()), pa.array(sign),
-                        _list((word[post] >> 32).astype(np.int32), posted), _list(place[post].astype(np.int32), posted), lines.take(pc.if_else(pc.less(kept, 0), None, kept)),
+                        pa.array(ids), pa.array(size, pa.int32()), pa.array(sign),
+                        _list((word[post] >> 32 << 32) | place[post], posted),
                     ],
                     names=[c.split()[0] for c in _LINES.split(", ")],
                 )
@@ -160,71 +229,95 @@ def _describe(counts, s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     return run
 
 
-def _sweep(low: int, high: int, s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(later, earlier, gap, word) of rows sorted by word and class: pairs ``low`` to ``high`` - 1 places apart.
+def _sweep(reach: int, most: int, s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(later, earlier, gap, word) of postings sorted by word and size: pairs at most ``reach`` places apart, at most ``most`` a posting.
 
-    A row (later, null, null, word) says that the line has postings of the word still
-    further ahead. Only the last ``high`` rows of a batch are kept for the next.
+    A row (later, null, null, word) says that the line may have more pairs in the
+    postings of the word. Only the last ``reach`` rows of a batch, of its last word and
+    of sizes that the next rows can match, are kept for the next.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
-            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "number", "size", "sign", "open")]
+            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "number", "place", "sign", "open")]
+            new += [np.zeros(len(new[0]), np.int64), np.zeros(len(new[0]), bool)]
             old = len(held[0]) if held else 0
-            word, ids, size, sign, is_open = [np.concatenate([h, x]) for h, x in zip(held, new)] if held else new
-            n, place = size >> 32, size & _CODE
-            start = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, np.int64)
-            before = np.arange(len(word)) - np.repeat(start, np.diff(np.append(start, len(word))))
-            later = np.arange(old, len(word))
-            later = later[is_open[later].astype(bool)]
-            found: list[np.ndarray] = []
-            for d in range(low, high):
-                later = later[before[later] >= d]
-                if not len(later):
+            key, ids, place, sign, is_open, met, more = [np.concatenate([h, x]) for h, x in zip(held, new)] if held else new
+            n, found = key & _CODE, [np.zeros((3, 0), np.int64)]
+            least = key - n + np.ceil(s * n - 1e-9).astype(np.int64)  # the key of the smallest set that one of n words can match
+            a = np.arange(old, len(key))
+            for d in range(1, reach + 2):
+                a = a[np.searchsorted(a, d) :]
+                a = a[key[a - d] >= least[a]]
+                if not len(a):
+                    break
+                if d > reach:
+                    more[a] = more[a - d] = True
                     break
-                a, b = later, later - d
+                b = a - d
                 need = _needed(n[a], n[b], s)
-                fits = (np.minimum(n[a], n[b]) >= s * np.maximum(n[a], n[b]) - 1e-9) & (np.minimum(n[a] - place[a], n[b] - place[b]) >= need) & (ids[a] != ids[b])
-                a, b, need = a[fits], b[fits], need[fits]
                 gap = np.bitwise_count((sign[a] ^ sign[b]).view(np.uint64)).astype(np.int64)
-                fits = gap <= n[a] + n[b] - 2 * need
-                found.append(np.stack([ids[a[fits]], ids[b[fits]], gap[fits]]))
-            later = later[before[later] >= high]
-            pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
-            more, paired = pa.nulls(len(later), pa.int64()), pa.nulls(pairs.shape[1], pa.int32())
+                fits = np.flatnonzero(gap <= n[a] + n[b] - 2 * need)
+                if not len(fits):
+                    continue
+                x, y, gap, need = a[fits], b[fits], gap[fits], need[fits]
+                later = np.where(ids[x] > ids[y], x, y)
+                fits = (np.minimum(n[x] - place[x], n[y] - place[y]) >= need) & (ids[x] != ids[y]) & is_open[later]
+                full = met[later] >= most
+                more[later[fits & full]] = True
+                fits &= ~full
+                later, earlier = later[fits], (x + y - later)[fits]
+                np.add.at(met, later, 1)
+                found.append(np.stack([ids[later], ids[earlier], gap[fits]]))
+            pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+            left = np.flatnonzero(more & is_open.astype(bool))
+            none, paired = pa.nulls(len(left), pa.int64()), pa.nulls(pairs.shape[1], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([pairs[0], ids[later]])), pa.concat_arrays([pa.array(pairs[1]), more]),
-                    pa.concat_arrays([pa.array(pairs[2]), more]), pa.concat_arrays([paired, pa.array(word[later])]),
+                    pa.array(np.concatenate([pairs[0], ids[left]])), pa.concat_arrays([pa.array(pairs[1]), none]),
+                    pa.concat_arrays([pa.array(pairs[2]), none]), pa.concat_arrays([paired, pa.array((key[left] >> 32).astype(np.int32))]),
                 ],
                 names=["later", "earlier", "gap", "word"],
             )
-            held = [x[-high:] for x in (word, ids, size, sign, is_open)]
+            if len(key):
+                keep = max(np.searchsorted(key, least[-1]), len(key) - reach - 1)
+                held = [x[keep:] for x in (key, ids, place, sign, is_open, met, more)]
 
     return run
 
 
 def _verify(s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(matched_id) of rows (later, a, b) whose lines match."""
+    """(matched_id, matched_set) of rows (later, set_id, a, b) whose lines match."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column("a"), batch.column("b")
-            sizes = pc.add(pc.binary_length(a), pc.binary_length(b)).to_numpy(zero_copy_only=False)
+            sizes = pc.add(pc.binary_length(batch.column("a")), pc.binary_length(batch.column("b"))).to_numpy(zero_copy_only=False)
             for i, j in _cuts(sizes):
-                m = j - i
-                _, row, code = _words(pa.concat_arrays([a.slice(i, m), b.slice(i, m)]))
-                key = np.unique(row << 32 | code)
-                size = np.bincount(key >> 32, minlength=2 * m)
-                edge = np.searchsorted(key, np.int64(m) << 32)
-                both = np.bincount(np.intersect1d(key[:edge], key[edge:] - (np.int64(m) << 32), assume_unique=True) >> 32, minlength=m)
-                match = both >= _needed(size[:m], size[m:], s)
-                yield pa.RecordBatch.from_arrays([batch.column("later").slice(i, m).filter(pa.array(match))], names=["matched_id"])
+                pairs = batch.slice(i, j - i)
+                for code in (_hash_codes, _coded):  # equal words have equal hashes, so the first loses no match
+                    m = len(pairs)
+                    key = np.unique(code(pa.concat_arrays([pairs.column("a"), pairs.column("b")])))
+                    size = np.bincount(key >> 32, minlength=2 * m)
+                    edge = np.searchsorted(key, np.int64(m) << 32)
+                    both = np.bincount(np.intersect1d(key[:edge], key[edge:] - (np.int64(m) << 32), assume_unique=True) >> 32, minlength=m)
+                    pairs = pairs.filter(pa.array(both >= _needed(size[:m], size[m:], s)))
+                yield pa.RecordBatch.from_arrays([pairs.column("later"), pairs.column("set_id")], names=["matched_id", "matched_set"])
 
     return run
 
 
+def _sifted(rows: DataFrame, column: str, wanted: DataFrame, name: str) -> DataFrame:
+    """``rows`` without most of those whose ``column`` is not among ``name`` of ``wanted``: those in none of its
+    2**SIFT_BITS hash cells. What is broadcast is bounded; a join still has to follow."""
+    of = f"xxhash64({{}}) & {(1 << SIFT_BITS) - 1}L"
+    bit = "shiftleft(1L, cast({} & 63L as int))"
+    cells = wanted.select(F.expr(of.format(name)).alias("cell")).groupBy(F.shiftright("cell", 6).alias("block")).agg(F.bit_or(F.expr(bit.format("cell"))).alias("bits"))
+    met = rows.withColumn("cell", F.expr(of.format(column))).withColumn("at_block", F.shiftright("cell", 6))
+    met = met.join(F.broadcast(cells), F.col("at_block") == F.col("block")).where(F.expr(f"(bits & {bit.format('cell')}) != 0L"))
+    return met.select(*rows.columns)
+
+
 class LineDedup:
     """Removed lines of ``docs`` (doc_id, text)."""
 
@@ -233,69 +326,79 @@ class LineDedup:
         self.s, self.scratch = similarity, Scratch(docs.sparkSession, "lines", tidy=True)
         self.lines = self._lines()
         at = F.struct(*_LINE)
-        first = self.lines.groupBy("set_id").agg(F.min(at).alias("first"), F.min(F.when(F.col("raw").isNotNull(), at)).alias("shown"))
+        first = self.lines.groupBy("set_id").agg(F.min(at).alias("first"), F.min(F.when(F.size("posts") > 0, at)).alias("shown"))
         # The classes, numbered in the order of their first lines.
         first = self.scratch.save(first, "first").orderBy("first.doc_id", "first.line", "set_id").withColumn("number", F.monotonically_increasing_id())
         self.first = self.scratch.save(first.withColumnRenamed("set_id", "first_id"), "classes")
+        self.scratch.drop("first")
         self.matched = self._matched()
         self.removed = self._removed()
+        for done in ("lines", "classes"):
+            self.scratch.drop(done)
 
     def _lines(self) -> DataFrame:
         """The lines that have words, as _LINES says."""
-        cells = self.docs.select("text").mapInArrow(_count_cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-        table = np.zeros(1 << ORDER_BITS, np.int64)
-        table[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+        counts = self.docs.select("text").mapInArrow(_count_cells, "part int, counts binary")
+        counts = counts.groupBy("part").applyInArrow(_add_counts, "part int, counts binary")
+        table = np.zeros((1 << ORDER_BITS) // PART * PART, np.uint32)
+        for row in counts.collect():
+            table[row.part * PART : (row.part + 1) * PART] = np.minimum(_unpacked(row.counts), 0xFFFFFFFF)
         counts = self.docs.sparkSession.sparkContext.broadcast(table)
         rows = self.docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
         return self.scratch.save(rows.mapInArrow(_describe(counts, self.s), _LINES), "lines")
 
-    def _matches(self, pairs: DataFrame, name: str) -> DataFrame:
-        """(matched_id): the later classes of ``pairs`` that match the earlier one."""
-        wanted = pairs.select(F.explode(F.array("later", "earlier")).alias("number")).distinct().join(self.first.select("number", "first_id"), "number")
-        held = self.lines.where("raw is not null").select("set_id", "raw")
-        held = held.join(wanted, held["set_id"] == wanted["first_id"]).groupBy("number").agg(F.first("raw").alias("raw"))
-        met = pairs.join(held.select(F.col("number").alias("later"), F.col("raw").alias("a")), "later")
-        met = met.join(held.select(F.col("number").alias("earlier"), F.col("raw").alias("b")), "earlier")
-        return self.scratch.save(met.select("later", "a", "b").mapInArrow(_verify(self.s), "matched_id long").distinct(), name)
+    def _texts(self, pairs: DataFrame, k: int) -> DataFrame:
+        """(number, set_id, raw): a line of every class in ``pairs``."""
+        wanted = pairs.select(F.explode(F.array("later", "earlier")).alias("number")).distinct().join(self.first.select("number", F.col("first_id").alias("set_id"), "first"), "number")
+        wanted = self.scratch.save(wanted, f"wanted-{k}")
+        every = self.docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line", "raw"))
+        every = every.select(F.struct(*_LINE).alias("at"), "raw")
+        held = _sifted(every, "at", wanted, "first").join(wanted, F.col("at").eqNullSafe(F.col("first")))
+        return self.scratch.save(held.groupBy("number", "set_id").agg(F.first("raw").alias("raw")), f"texts-{k}")
+
+    def _matches(self, pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+        """(matched_id, matched_set): the later classes of ``pairs`` that match the earlier one."""
+        met = pairs.join(texts.select(F.col("number").alias("later"), "set_id", F.col("raw").alias("a")), "later")
+        met = met.join(texts.select(F.col("number").alias("earlier"), F.col("raw").alias("b")), "earlier")
+        return self.scratch.save(met.select("later", "set_id", "a", "b").mapInArrow(_verify(self.s), "matched_id long, matched_set long").distinct(), name)
 
     def _matched(self) -> DataFrame:
-        """(matched_id): the classes that match an earlier one."""
+        """(matched_id, matched_set): number and set of the classes that match an earlier one."""
         scratch, first = self.scratch, self.first.where("shown is not null")
-        shown = self.lines.where("raw is not null").join(first, (F.col("set_id") == F.col("first_id")) & F.struct(*_LINE).eqNullSafe(F.col("shown")))
+        shown = self.lines.where("size(posts) > 0").join(first, (F.col("set_id") == F.col("first_id")) & F.struct(*_LINE).eqNullSafe(F.col("shown")))
         # One row a class, but for repeated rows of documents, which the sweep passes over.
-        classes = scratch.save(shown.select("number", "n", "sign", "words", "places"), "prefixes")
-        posts = classes.select("number", "n", "sign", F.explode(F.arrays_zip("words", "places")).alias("at"))
-        posts = posts.select(F.col("at.words").alias("word"), "number", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at.places")).alias("size"), "sign")
-        matched, ahead, low = None, None, 1
+        classes = scratch.save(shown.select("number", "n", "sign", "posts"), "prefixes")
+        posts = classes.select("number", "n", "sign", F.explode("posts").alias("at"))
+        word = F.shiftright("at", 32)
+        posts = posts.select((F.shiftleft(word, 32) + F.col("n")).alias("key"), word.cast("int").alias("word"), F.expr("cast(at & 4294967295L as int)").alias("place"), "number", "sign")
+        matched, ahead = None, None
         for k in count(1):
-            high, rows, is_open = STEP**k + 1, posts, F.lit(True)
+            rows, is_open = posts, F.lit(True)
             if ahead is not None:
-                rows = posts.join(ahead.select(F.col("word").alias("ahead")).distinct(), F.col("word") == F.col("ahead"), "left_semi")
-                rows = rows.join(ahead.select(F.col("later").alias("number"), F.lit(True).alias("open")).distinct(), "number", "left")
+                rows = _sifted(posts, "word", ahead, "word").join(ahead.select(F.col("later").alias("number"), F.lit(True).alias("open")).distinct(), "number", "left")
                 is_open = F.coalesce("open", F.lit(False))
-            swept = rows.repartition("word").sortWithinPartitions("word", "number").select("word", "number", "size", "sign", is_open.alias("open"))
-            swept = scratch.save(swept.mapInArrow(_sweep(low, high, self.s), "later long, earlier long, gap long, word int"), f"swept-{k}")
+            swept = rows.repartition("word").sortWithinPartitions("key").select("key", "number", "place", "sign", is_open.alias("open"))
+            swept = scratch.save(swept.mapInArrow(_sweep(REACH * STEP ** (k - 1), MOST * STEP ** (k - 1), self.s), "later long, earlier long, gap long, word int"), f"swept-{k}")
             pairs = swept.where("earlier is not null")
+            texts = self._texts(pairs, k)
             best = scratch.save(pairs.groupBy("later").agg(F.min(F.struct("gap", "earlier"))["earlier"].alias("earlier")), f"best-{k}")
-            near = self._matches(best, f"near-best-{k}")
+            near = self._matches(best, texts, f"near-best-{k}")
             others = pairs.select("later", "earlier").distinct().join(best, ["later", "earlier"], "left_anti")
             others = scratch.save(others.join(near, others["later"] == near["matched_id"], "left_anti"), f"others-{k}")
-            near = near.unionByName(self._matches(others, f"near-others-{k}"))
+            near = near.unionByName(self._matches(others, texts, f"near-others-{k}"))
             matched = near if matched is None else matched.unionByName(near)
-            more = swept.where("word is not null").select("later", "word")
+            more = swept.where("word is not null").select("later", "word").distinct()
             ahead = scratch.save(more.join(matched, more["later"] == matched["matched_id"], "left_anti"), f"ahead-{k}")
-            for done in ("swept", "best", "others"):
+            for done in ("swept", "wanted", "texts", "best", "others"):
                 scratch.drop(f"{done}-{k}")
             if ahead.isEmpty():
                 scratch.drop("prefixes")
                 return matched
-            low = high
 
     def _removed(self) -> DataFrame:
         """(doc_id, text_hash, lines): numbers of the lines to remove, ascending."""
-        where, matched = self.lines.select("set_id", *_LINE), self.matched.distinct()
-        first = self.first.join(matched, F.col("number") == F.col("matched_id"), "left").select("first_id", "first", F.col("matched_id").isNotNull().alias("matched"))
-        first = self.scratch.save(first, "first-matched")
+        where, matched = self.lines.select("set_id", *_LINE), self.matched.select("matched_set").distinct()
+        first = self.first.join(matched, F.col("first_id") == F.col("matched_set"), "left").select("first_id", "first", F.col("matched_set").isNotNull().alias("matched"))
         lost = where.join(first, where["set_id"] == first["first_id"]).where(F.col("matched") | ~F.struct(*_LINE).eqNullSafe(F.col("first")))
         lost = lost.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line")).alias("lines"))
         return self.scratch.save(lost.select(F.col("doc_id").alias("lost_id"), F.col("text_hash").alias("lost_hash"), "lines"), "removed")
