@@ -47,13 +47,15 @@ from pyspark.sql import functions as F
 from odoflow.llm.common import Scratch
 
 SIMILARITY = 0.8
-ORDER_BITS = 20
+ORDER_BITS = 22
 #: Cells of a row of counts.
 PART = 1 << 16
 #: Places of a word's postings that the first sweep looks back, pairs that it takes of a posting, and what later sweeps multiply both by.
 REACH, MOST, STEP = 256, 32, 16
 #: Hash cells by which rows are sifted before a join.
 SIFT_BITS = 24
+#: 64-bit parts of the parity signature of a line to verify.
+PARTS = 8
 #: Line sets that a task remembers to post each once.
 HOLD = 500_000
 #: Bytes of lines that a task splits into words at a time (one longer line goes alone).
@@ -141,13 +143,6 @@ def _coded(lines: pa.Array) -> np.ndarray:
     return (row << 32 | code)[code != blank]
 
 
-def _hash_codes(lines: pa.Array) -> np.ndarray:
-    """The same by the hashes of the words."""
-    data, edges = _joined(lines)
-    hashes, before = _words(data.tobytes(), edges[1:] - 1)
-    return np.repeat(np.arange(len(lines)) << 32, np.diff(before, prepend=0)) | pa.array(hashes).dictionary_encode().indices.to_numpy()
-
-
 def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(part, counts): occurrences of the words of each cell in a task, PART cells at a time, packed."""
     table = np.zeros(1 << ORDER_BITS, np.int64)
@@ -287,6 +282,22 @@ def _sweep(reach: int, most: int, s: float) -> Callable[[Iterator[pa.RecordBatch
     return run
 
 
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(number, set_id, raw, n, w0, w1, ...): rows with their size and a parity signature of PARTS parts."""
+    for batch in batches:
+        for i, j in _cuts(pc.binary_length(batch.column("raw")).to_numpy(zero_copy_only=False) + 1):
+            rows = batch.slice(i, j - i)
+            data, edges = _joined(rows.column("raw"))
+            hashes, before = _words(data.tobytes(), edges[1:] - 1)
+            coded = pa.array(hashes).dictionary_encode()
+            key = np.unique(np.repeat(np.arange(len(rows)) << 32, np.diff(before, prepend=0)) | coded.indices.to_numpy())
+            row, word = key >> 32, coded.dictionary.to_numpy()[key & _CODE]
+            bits = np.bincount(row * (64 * PARTS) + (word % np.uint64(64 * PARTS)).astype(np.int64), minlength=64 * PARTS * len(rows)) & 1
+            parts = np.packbits(bits.astype(np.uint8)).view(np.int64).reshape(len(rows), PARTS)
+            columns = [*rows.columns, pa.array(np.bincount(row, minlength=len(rows)).astype(np.int32)), *(pa.array(np.ascontiguousarray(parts[:, k])) for k in range(PARTS))]
+            yield pa.RecordBatch.from_arrays(columns, names=["number", "set_id", "raw", "n", *(f"w{k}" for k in range(PARTS))])
+
+
 def _verify(s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """(matched_id, matched_set) of rows (later, set_id, a, b) whose lines match."""
 
@@ -295,13 +306,12 @@ def _verify(s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
             sizes = pc.add(pc.binary_length(batch.column("a")), pc.binary_length(batch.column("b"))).to_numpy(zero_copy_only=False)
             for i, j in _cuts(sizes):
                 pairs = batch.slice(i, j - i)
-                for code in (_hash_codes, _coded):  # equal words have equal hashes, so the first loses no match
-                    m = len(pairs)
-                    key = np.unique(code(pa.concat_arrays([pairs.column("a"), pairs.column("b")])))
-                    size = np.bincount(key >> 32, minlength=2 * m)
-                    edge = np.searchsorted(key, np.int64(m) << 32)
-                    both = np.bincount(np.intersect1d(key[:edge], key[edge:] - (np.int64(m) << 32), assume_unique=True) >> 32, minlength=m)
-                    pairs = pairs.filter(pa.array(both >= _needed(size[:m], size[m:], s)))
+                m = len(pairs)
+                key = np.unique(_coded(pa.concat_arrays([pairs.column("a"), pairs.column("b")])))
+                size = np.bincount(key >> 32, minlength=2 * m)
+                edge = np.searchsorted(key, np.int64(m) << 32)
+                both = np.bincount(np.intersect1d(key[:edge], key[edge:] - (np.int64(m) << 32), assume_unique=True) >> 32, minlength=m)
+                pairs = pairs.filter(pa.array(both >= _needed(size[:m], size[m:], s)))
                 yield pa.RecordBatch.from_arrays([pairs.column("later"), pairs.column("set_id")], names=["matched_id", "matched_set"])
 
     return run
@@ -354,7 +364,18 @@ class LineDedup:
         every = self.docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line", "raw"))
         every = every.select(F.struct(*_LINE).alias("at"), "raw")
         held = _sifted(every, "at", wanted, "first").join(wanted, F.col("at").eqNullSafe(F.col("first")))
-        return self.scratch.save(held.groupBy("number", "set_id").agg(F.first("raw").alias("raw")), f"texts-{k}")
+        held = held.groupBy("number", "set_id").agg(F.first("raw").alias("raw"))
+        return self.scratch.save(held.mapInArrow(_sign, "number long, set_id long, raw string, n int, " + ", ".join(f"w{k} long" for k in range(PARTS))), f"texts-{k}")
+
+    def _close(self, pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+        """(later, earlier, gap): the pairs whose longer signatures differ in no more bits than those of lines that match."""
+        signs = texts.drop("set_id", "raw")
+        a, b = (signs.select(F.col("number").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in signs.columns[1:])) for x in ("later", "earlier"))
+        met = pairs.select("later", "earlier").distinct().join(a, "later").join(b, "earlier")
+        gap = F.expr(" + ".join(f"bit_count(later_w{k} ^ earlier_w{k})" for k in range(PARTS)))
+        both = F.col("later_n") + F.col("earlier_n")
+        met = met.select("later", "earlier", gap.alias("gap"), (both - 2 * F.ceil(both * (self.s / (1 + self.s)) - 1e-9)).alias("most"))
+        return self.scratch.save(met.where("gap <= most").select("later", "earlier", "gap"), f"close-{k}")
 
     def _matches(self, pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
         """(matched_id, matched_set): the later classes of ``pairs`` that match the earlier one."""
@@ -381,15 +402,16 @@ class LineDedup:
             swept = scratch.save(swept.mapInArrow(_sweep(REACH * STEP ** (k - 1), MOST * STEP ** (k - 1), self.s), "later long, earlier long, gap long, word int"), f"swept-{k}")
             pairs = swept.where("earlier is not null")
             texts = self._texts(pairs, k)
+            pairs = self._close(pairs, texts, k)
             best = scratch.save(pairs.groupBy("later").agg(F.min(F.struct("gap", "earlier"))["earlier"].alias("earlier")), f"best-{k}")
             near = self._matches(best, texts, f"near-best-{k}")
-            others = pairs.select("later", "earlier").distinct().join(best, ["later", "earlier"], "left_anti")
+            others = pairs.select("later", "earlier").join(best, ["later", "earlier"], "left_anti")
             others = scratch.save(others.join(near, others["later"] == near["matched_id"], "left_anti"), f"others-{k}")
             near = near.unionByName(self._matches(others, texts, f"near-others-{k}"))
             matched = near if matched is None else matched.unionByName(near)
             more = swept.where("word is not null").select("later", "word").distinct()
             ahead = scratch.save(more.join(matched, more["later"] == matched["matched_id"], "left_anti"), f"ahead-{k}")
-            for done in ("swept", "wanted", "texts", "best", "others"):
+            for done in ("swept", "wanted", "texts", "close", "best", "others"):
                 scratch.drop(f"{done}-{k}")
             if ahead.isEmpty():
                 scratch.drop("prefixes")
