@@ -11,18 +11,20 @@ Equal sets are one class, held by its first line. Between classes:
    hash. Any common order keeps the join exact.
 2. Prefix filter: lines that match share one of their first n - ceil(s n) + 1 words,
    so only these are posted; words that occur once are left out.
-3. Postings of a word stand in order of lines. A sweep pairs each with earlier ones
-   of its word, nearest first, under three filters that lose no match: length, words
-   left after the shared one, and the bits in which the parity signatures differ (at
-   most the words that only one of the two has).
-4. Pairs are verified: exact Jaccard of the whole sets, on the words themselves. The
-   pair whose signatures are closest goes first, the others only if it fails.
-
-A line needs only one earlier match. So the sweeps go in rounds, over distances 1 to
-STEP, then to STEP**2, and so on, each over the words in which a line without a match
-has earlier postings left; a group of thousands of variants ends after a round or
-two, without all its pairs. The rounds end when no such line is left: nothing is cut
-off.
+3. Postings of a word stand in order of size. A sweep pairs each with those near it
+   under three filters that lose no match: length, words left after the shared one, and
+   the bits in which 64-bit parity signatures differ (at most the words that only one of
+   the two has).
+4. The lines of the pairs left are read from the documents. Signatures of 64 * PARTS
+   bits sift the pairs again, then they are verified: exact Jaccard of the whole sets,
+   on the words themselves. The pair whose signatures are closest goes first, the others
+   only if it fails.
+
+A line needs only one earlier match. So a sweep looks REACH places back and takes MOST
+pairs of a posting; for lines without a match that may have more, the next round looks
+STEP times as far and takes STEP times as many, in the words where they may. A group of
+thousands of variants ends after a round or two, without all its pairs. The rounds end
+when no such line is left: nothing is cut off.
 
 Words are ordered and sets are told apart by 64-bit hashes (two different ones are
 equal with a probability of about 5e-20). Postings hold 32 bits of them: words that

@@ -13,6 +13,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -457,6 +458,48 @@ def test_line_dedup_counts_without_ansi_mode(spark):
         spark.conf.set("spark.sql.ansi.enabled", old)
 
 
+def test_line_dedup_in_many_rounds(spark, monkeypatch):
+    """Sweeps that look back two places and take one pair of a posting: later rounds find the rest, with both signatures equal."""
+    monkeypatch.setattr(linedup, "REACH", 2)
+    monkeypatch.setattr(linedup, "MOST", 1)
+    monkeypatch.setattr(linedup, "STEP", 2)
+    rows = [(i, " ".join([f"Rare{i % 3}", *(f"w{(i * k) % 11}" for k in range(1, 9))])) for i in range(60)]
+    seen, want = [], {}
+    for i, text in rows:
+        line = frozenset(text.lower().split())
+        want[i] = int(any(len(line & x) / len(line | x) >= 0.8 - 1e-9 for x in seen))
+        seen.append(line)
+    got = {r.doc_id: r.n_removed for r in linedup.LineDedup(spark.createDataFrame(rows, "doc_id long, text string")).report().collect()}
+    assert got == want and 0 < sum(want.values()) < 60
+
+
+def test_line_dedup_sweep_keeps_nothing_of_lines_without_a_pair():
+    """Postings of one word in lines that can't match leave no rows for a next round; the tables hold no texts."""
+    n = 40
+    signs = np.random.default_rng(1).integers(-(2**63), 2**63, n)
+    rows = {"key": np.full(n, (7 << 32) | 9), "number": np.arange(n), "place": np.zeros(n, np.int32), "sign": signs, "open": np.ones(n, bool)}
+    batch = pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in rows.items()})
+    assert sum(b.num_rows for b in linedup._sweep(256, 32, 0.8)(iter([batch.slice(0, 25), batch.slice(25)]))) == 0
+    assert "string" not in linedup._LINES
+    same = batch.set_column(3, "sign", pa.array(np.zeros(n, np.int64)))
+    found = [r for b in linedup._sweep(256, 32, 0.8)(iter([same.slice(0, 25), same.slice(25)])) for r in b.to_pylist()]
+    pairs = [(r["later"], r["earlier"]) for r in found if r["earlier"] is not None]
+    assert len(pairs) == len(set(pairs)) and all(a > b for a, b in pairs)
+    assert {r["later"] for r in found if r["word"] is not None} >= set(range(33, n))  # those with more than 32 pairs
+
+
+def test_line_dedup_words_and_lines():
+    """Words by white space of all kinds, A-Z lower-cased, of any length; rows and numbers of lines, null and empty texts too."""
+    texts = ["Ab ab\tx" + "y" * 30 + "\n\n X" + "Y" * 30 + " \x0b\u00c4b", None, "", "ab\n"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    found = list(linedup._lines(batch))
+    assert [(r, k) for row, number, _, _ in found for r, k in zip(row.tolist(), number.tolist())] == [(0, 0), (0, 1), (0, 2), (1, 0), (2, 0), (3, 0), (3, 1)]
+    (_, _, data, ends), = found
+    hashes, before = linedup._words(data, ends)
+    assert before.tolist() == [3, 3, 5, 5, 5, 6, 6]
+    assert hashes[0] == hashes[1] == hashes[5] and hashes[2] == hashes[3] and len(set(hashes.tolist())) == 3
+
+
 # ---------------------------------------------------------------- op9
 
 
